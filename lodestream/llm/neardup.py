@@ -225,7 +225,7 @@ def similar_classes(rows: DataFrame, threshold: float, bits: int = SKETCH_BITS)
     counts = sketch(rows, bits)
     parts = max(rows.sparkSession.sparkContext.defaultParallelism, int(counts.sum(dtype=np.int64)) // ENTRIES)
     entries = with_prefixes(rows, threshold, counts, parts)
-    candidates = entries.groupBy("part").applyInArrow(lambda t: matched(t, threshold), "a long, b long").distinct()
+    candidates = cut(entries.groupBy("part").applyInArrow(lambda t: matched(t, threshold), "a long, b long").distinct())
     # exact, on the sets themselves
     some = candidates.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
     sets = rows.select("class_id", "items").join(some, "class_id", "left_semi").groupBy("class_id").agg(F.first("items").alias("items"))

@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestream.llm import neardup, packing, splitting, tokens
+from lodestream.llm import canonical, neardup, packing, splitting, survivor, tokens
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p3_found": survivor.p3_found,
+    "p3_survivors": survivor.p3_survivors,
+    "p5_found": canonical.p5_found,
     "p7_found": neardup.p7_found,
     "p7_documents": neardup.p7_documents,
     "p8_ids": tokens.p8_ids,
