@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestream.llm import canonical, neardup, packing, splitting, survivor, tokens
+from lodestream.llm import canonical, neardup, newtext, packing, splitting, survivor, tokens
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "p2_found": newtext.p2_found,
     "p3_found": survivor.p3_found,
     "p3_survivors": survivor.p3_survivors,
     "p5_found": canonical.p5_found,
