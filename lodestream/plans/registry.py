@@ -1,41 +1,18 @@
-"""The registered queries of the core: name -> (spark, folder) -> DataFrame, and oracle SQL."""
+"""All registered queries of the core."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
 from lodestream.operators import history, timestamps, units
+from lodestream.plans import matching, quality, reading, storing, texts  # noqa: F401  (they register)
+from lodestream.plans.base import ORACLE, QUERIES, Query, query
 
-Query = Callable[[SparkSession, str], DataFrame]
-
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None):
-    """Register a function as the query ``name``, with oracle SQL if there is some."""
-
-    def register(f: Query) -> Query:
-        if name in _QUERIES:
-            raise ValueError(f"query {name} is there already")
-        _QUERIES[name] = f
-        if sql:
-            _SQL[name] = sql
-        return f
-
-    return register
-
-
-query("p1_found")(units.p1_found)
-query("p4_found")(history.p4_found)
-query("p6_found")(timestamps.p6_found)
+for _name, _query in (("p1_found", units.p1_found), ("p4_found", history.p4_found), ("p6_found", timestamps.p6_found)):
+    query(_name)(_query)
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(ORACLE)
