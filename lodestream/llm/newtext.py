@@ -29,6 +29,8 @@ from lodestream.sources.tables import table
 
 #: The classifier is fitted on the blocks of at most so many mails.
 SAMPLE_MAILS = 3_000
+#: Quoted lines of a mail that serve as examples of what is not new.
+LEARNT = 8
 #: Counters of the sender frequency sketch.
 FREQUENCY_BITS = 20
 
@@ -64,6 +66,7 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
 
     quoted: in a quote of earlier mails or introducing one. after_end: past the sender's
     closing or name. depth: quote marks before the text. overlap: the ancestor has the line.
+    Of the quoted lines, which their place and mark make evident, the first LEARNT are given.
     """
     lines = lines_of(body)
     n = len(lines)
@@ -97,17 +100,23 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
             if not style:
                 old[k] = True
             elif s[:1] == style:
-                old[k] = not s.strip(">| ") or hashed(one_less(s)) in held if known else not _COMPARES.match(s)
+                # a comparison or a row of a table may begin like a quote: the ancestor tells
+                doubtful = style == "|" or _COMPARES.match(s)
+                old[k] = not doubtful or not s.strip(">| ") or known and hashed(one_less(s)) in held
     words = {w.lower() for w in (name or "").split()}
     local = (sender or "").split("@")[0].lower()
     out = []
     ended = False
-    seen = 0
+    seen = quoted = 0
     for k, line in enumerate(lines):
         s = line.strip()
         if not s:
             continue
-        if not old[k] and not ended:
+        if old[k]:  # evident; some of it is kept to learn from
+            quoted += 1
+            if quoted > LEARNT:
+                continue
+        elif not ended:
             what = kind(s)
             if what == "closing" or _is_name(s, words, local) and seen:
                 ended = True
