@@ -254,7 +254,7 @@ def map_values(values: DataFrame, names: dict[str, list[tuple[int, str, list[str
         return built[kind]
 
     values = values.where("kind is not null and value is not null").distinct()
-    split = values.select("kind", "value", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("value"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))).alias("token"))
+    split = values.select("kind", "value", F.explode(F.array_distinct(F.regexp_extract_all(F.regexp_replace(F.lower("value"), "['’]", ""), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))).alias("token"))
 
     def repair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -71,7 +71,7 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
     lines = lines_of(body)
     n = len(lines)
     old = [False] * n
-    begin, style, known = _quote_begins(lines, parent)
+    begin, style = _quote_begins(lines, parent)
     held = set(parent or ())
     if begin is None:
         first = None
@@ -101,8 +101,8 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
                 old[k] = True
             elif s[:1] == style:
                 # a comparison or a row of a table may begin like a quote: the ancestor tells
-                doubtful = style == "|" or _COMPARES.match(s)
-                old[k] = not doubtful or not s.strip(">| ") or known and hashed(one_less(s)) in held
+                doubtful = s[-1:] == "|" and s.strip(">| ") and s[1:].lstrip()[:1] != "|" if style == "|" else _COMPARES.match(s)
+                old[k] = not doubtful or hashed(one_less(s)) in held
     words = {w.lower() for w in (name or "").split()}
     local = (sender or "").split("@")[0].lower()
     out = []
@@ -137,11 +137,11 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
     return out
 
 
-def _quote_begins(lines: list[str], parent: list[int] | None) -> tuple[int | None, str, bool]:
+def _quote_begins(lines: list[str], parent: list[int] | None) -> tuple[int | None, str]:
     """Where the ancestor's body begins in a body, and with which mark; the first of its
     lines must be followed by the next ones, other text between them only in marked quotes."""
     if not parent:
-        return None, "", False
+        return None, ""
     first, most = parent[0], min(3, len(parent))
     for i, line in enumerate(lines):
         s = line.strip()
@@ -158,17 +158,17 @@ def _quote_begins(lines: list[str], parent: list[int] | None) -> tuple[int | Non
                 if not y or style and (y[:1] != style or not y[1:].strip()):
                     continue
                 if hashed(one_less(y) if style else y) != parent[hit]:
-                    if style and _COMPARES.match(y):
+                    if style and (_COMPARES.match(y) or y[-1:] == "|"):
                         continue
                     break
                 hit += 1
             else:
                 if hit == 1 and len(parent) > 1 and not style and kind(s) != "text":
                     continue
-                return i, style, True
+                return i, style
             if hit >= most:
-                return i, style, True
-    return None, "", False
+                return i, style
+    return None, ""
 
 
 def blocks_of(parsed: list[tuple[int, str, bool, bool, int, int]]) -> list[list[tuple]]:
