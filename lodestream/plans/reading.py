@@ -65,7 +65,7 @@ def json_distinct(spark, folder):
 def health_summary(spark, folder):
     """One row of operational figures."""
     bad = F.count_if(F.col("event_type") == "error")
-    return events(spark, folder).agg(F.count("*").alias("total"), bad.alias("failed"), F.round(1 - bad / F.count("*"), 6).alias("success_rate"), F.round(F.coalesce(F.sum("value"), F.lit(0.0)), 2).alias("value_sum"), (F.max(_ms()) - F.min(_ms())).alias("span_ms"))
+    return events(spark, folder).agg(F.count("*").alias("total"), bad.alias("failed"), F.round(1 - F.try_divide(bad, F.count("*")), 6).alias("success_rate"), F.round(F.coalesce(F.sum("value"), F.lit(0.0)), 2).alias("value_sum"), (F.max(_ms()) - F.min(_ms())).alias("span_ms"))
 
 
 @query(
