@@ -70,3 +70,9 @@ def summary(c: Column, most: int = 600) -> Column:
     """The text from its greeting or 'please find' on, at most so many characters."""
     at = F.regexp_instr(c, F.lit(r"(?i)(please find|please share|dear |hi |hello|greetings)"))
     return F.substring(c, F.when(at > 0, at).otherwise(1), F.lit(most))
+
+
+def sanitized(details: Column, secret: str = "(?i)mail|phone|token|password|body|subject", most: int = 60) -> Column:
+    """A map of details fit for an alert: secret keys redacted, long values cut."""
+    kept = F.transform_values(details, lambda k, v: F.when(k.rlike(secret), F.lit("[redacted]")).when(F.length(v) > most, F.concat(F.substring(v, 1, most), F.lit("..."))).otherwise(v))
+    return kept

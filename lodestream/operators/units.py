@@ -1,4 +1,4 @@
-"""Quantities in different units (problem 1): amounts of pay as INR a year.
+"""Quantities in different units (problem 1; X5, X5b, X5c, C34, H41): amounts of pay as INR a year.
 
 A multi-pattern automaton finds every unit alias of a text at once; of overlapping hits
 the longest stands. Aliases next to a number give it a scale or mark it as no money

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lodestream.operators import history, timestamps, units
-from lodestream.plans import matching, quality, reading, storing, streams, texts  # noqa: F401  (they register)
+from lodestream.plans import matching, quality, reading, records, storing, streams, texts  # noqa: F401  (they register)
 from lodestream.plans.base import ORACLE, QUERIES, Query, query
 
 for _name, _query in (("p1_found", units.p1_found), ("p4_found", history.p4_found), ("p6_found", timestamps.p6_found)):

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import io
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,3 +59,26 @@ def cut(df: DataFrame) -> DataFrame:
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the executors of a cluster, once per context: it is
+    written as a zip to the shared folder and added to the session's Python files. Without
+    a shared folder the submitter has to take care of it."""
+    context = spark.sparkContext
+    known = getattr(context, "_lodestream_shipped", False)
+    if known or context.master.startswith("local[") or not spark.conf.get("spark.checkpoint.dir", None):
+        return
+    root = Path(__file__).resolve().parent
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, f"{root.name}/{p.relative_to(root)}")
+    path = f"{shared_dir(spark)}/{root.name}-{uuid.uuid4().hex}/{root.name}.zip"
+    jvm = context._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    out = at.getFileSystem(context._jsc.hadoopConfiguration()).create(at, True)
+    out.write(bytearray(packed.getvalue()))
+    out.close()
+    context.addPyFile(path)
+    context._lodestream_shipped = True

@@ -1,4 +1,5 @@
-"""Reading mail: raw message JSON, .eml files, dropped files, CSV exports, attachments (SC, N1, N4, H55, H56).
+"""Reading mail: raw message JSON (SC4-SC6), .eml files (SC7, SC8), dropped files (SC9, SC10, H8), CSV exports
+(SC12), attachments by kind (SC13-SC19, H56), JSON in text (SC20), bodies of either type (N1, N4, H55).
 
 Files come in through Spark's own sources, so partitions, pruning and the streaming file
 log are theirs; only decoding bytes and HTML needs Python, in Arrow batches.

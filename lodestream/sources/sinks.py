@@ -1,4 +1,5 @@
-"""Writing results: reports, append logs by day, rejected rows, pluggable delivery (SK)."""
+"""Writing results: reports (SK4-SK6, SK9), append logs by day, rejected rows (SK8), pluggable delivery with a
+store for what failed (SK1, SK3, SK11, T6, T12b, T12c)."""
 
 from __future__ import annotations
 

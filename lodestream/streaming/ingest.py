@@ -69,5 +69,5 @@ def cooled_alerts(stream: DataFrame, key: str, ms: str, quiet_ms: int) -> DataFr
 
 
 def heartbeats(query: StreamingQuery) -> list[dict]:
-    """The recent progress of a query as heartbeat rows."""
+    """The recent progress of a query as heartbeat rows (SK10, T15)."""
     return [{"batch_id": p["batchId"], "started_at": p["timestamp"], "rows": p["numInputRows"]} for p in query.recentProgress]

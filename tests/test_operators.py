@@ -80,3 +80,30 @@ def test_greedy_takes_each_side_once(spark):
     rows = [("g", "a", "x", 0.9), ("g", "a", "y", 0.8), ("g", "b", "x", 0.7), ("g", "b", "y", 0.1), ("h", "a", "x", 0.0)]
     got = {tuple(r)[:3] for r in resolve.greedy_matches(spark.createDataFrame(rows, "g string, l string, r string, s double"), "g", "l", "r", "s").collect()}
     assert got == {("g", "a", "x"), ("g", "b", "y"), ("h", "a", "x")}
+
+
+def test_extractor_keeps_rows_that_fail(spark):
+    from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+    from lodestream.operators.extractor import extracted, reprocessed
+
+    schema = StructType([StructField("size", LongType()), StructField("title", StringType())])
+
+    def extractor(texts):
+        if "bad" in texts:
+            raise ValueError("no")
+        return [t and {"size": len(t)} for t in texts]
+
+    df = spark.createDataFrame([(1, "abc"), (2, None), (3, "bad")], "k long, t string").coalesce(1)
+    rows = {r["k"]: (r["size"], r["title"], r["extract_error"]) for r in extracted(df, "t", schema, extractor, size=1, tries=2, pause=0.0).collect()}
+    assert rows == {1: (3, None, None), 2: (None, None, None), 3: (None, None, "no")}
+    assert extracted(df, "t", schema).where("size is null").count() == 3
+    again = spark.createDataFrame([(1, "abc"), (3, "x"), (4, "y")], "k long, t string")
+    assert {tuple(r) for r in reprocessed(df, "k", again).collect()} == {(1, "same"), (2, "lost"), (3, "changed"), (4, "added")}
+
+
+def test_sanitized(spark):
+    from lodestream.functions.text import sanitized
+
+    r = spark.createDataFrame([({"from_email": "a@b", "note": "x" * 70, "n": "1"},)], "m map<string,string>").select(sanitized(F.col("m")).alias("m")).first()["m"]
+    assert r == {"from_email": "[redacted]", "note": "x" * 60 + "...", "n": "1"}
