@@ -77,7 +77,7 @@ def deletions(word: str, most: int) -> set[str]:
 
 def edits(length: int) -> int:
     """How many edits a word of that length may differ by."""
-    return 0 if length < 3 else 1 if length < 4 else 2
+    return 0 if length < 3 else 1 if length < 4 else 2 if length < 9 else 3
 
 
 class Names:
@@ -132,9 +132,10 @@ class Names:
             return [(token, 1.0), *found.items()]
         if token in PLAIN and not (self.kind == "job_title" and token == "tech") or not token.isalpha() or len(token) < 2 or found:
             return list(found.items())
-        for v in deletions(token, edits(len(token) + 1)):
+        mine = edits(max(4, len(token) + 1)) if self.kind == "job_title" else edits(len(token) + 1)
+        for v in deletions(token, mine):
             for w in self.near.get(v, ()):
-                most = min(edits(len(w)), edits(len(token) + 1))
+                most = min(edits(len(w)), mine)
                 d = distance(token, w, most)
                 if d <= most:
                     found[w] = max(found.get(w, 0), 1 - d / max(len(w), len(token)) * 0.9)
