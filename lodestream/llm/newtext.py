@@ -72,6 +72,7 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
     n = len(lines)
     old = [False] * n
     begin, style = _quote_begins(lines, parent)
+    known = begin is not None
     held = set(parent or ())
     if begin is None:
         first = None
@@ -100,9 +101,14 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
             if not style:
                 old[k] = True
             elif s[:1] == style:
-                # a comparison or a row of a table may begin like a quote: the ancestor tells
-                doubtful = s[-1:] == "|" and s.strip(">| ") and s[1:].lstrip()[:1] != "|" if style == "|" else _COMPARES.match(s)
-                old[k] = not doubtful or hashed(one_less(s)) in held
+                # comparisons, rows of tables and bullets may begin like quotes: the ancestor
+                # tells; without it, their form
+                if not s.strip(">| "):
+                    old[k] = True
+                elif known:
+                    old[k] = hashed(one_less(s)) in held
+                else:
+                    old[k] = not (s[-1:] == "|" and s[1:].lstrip()[:1] != "|" if style == "|" else _COMPARES.match(s))
     words = {w.lower() for w in (name or "").split()}
     local = (sender or "").split("@")[0].lower()
     out = []

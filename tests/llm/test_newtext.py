@@ -45,6 +45,7 @@ Yes, it is.
 | Sent: 7 resumes, cleared: 2.
 
 > 6 years are needed.
+| Key tasks without a quote
 
 ~ Pelwin ~
 Sent from my phone"""
@@ -66,7 +67,8 @@ def test_lines():
     assert new_of(OPENING, None, P[0], None) == [1, 3, 4, 5, 6]
     assert new_of(TOP, OPENING, *N) == [1, 3, 4]
     assert new_of(TOP, None, *N) == [1, 3, 4]
-    assert new_of(INLINE, TOP, *P) == [4, 5, 9]
+    assert new_of(INLINE, TOP, *P) == [4, 5, 9, 10]
+    assert new_of(INLINE, None, *P) == [4, 5, 9]
     assert new_of(PASTED, OPENING, *N) == [1]
     assert new_of(FORWARD, OPENING, *N) == new_of(FORWARD, None, *N) == []
     assert new_of(OPENING.replace("\n", "\r\n"), None, *P) == [1, 3, 4, 5, 6]
@@ -86,7 +88,7 @@ def test_operator(spark):
     rows += [(f"o{k}", None, None, OPENING.replace("Data Engineer", f"Role {k}"), *P) for k in range(60)]
     found = [tuple(r) for r in new_lines(mails(spark, rows)).where("length(graph_id) = 1").collect()]
     assert len(found) == len(set(found))
-    assert set(found) == {("a", 1), ("a", 3), ("a", 4), ("a", 5), ("a", 6), ("b", 1), ("b", 3), ("b", 4), ("c", 4), ("c", 5), ("c", 9), ("d", 1)}
+    assert set(found) == {("a", 1), ("a", 3), ("a", 4), ("a", 5), ("a", 6), ("b", 1), ("b", 3), ("b", 4), ("c", 4), ("c", 5), ("c", 9), ("c", 10), ("d", 1)}
     assert new_lines(mails(spark, rows).limit(0)).count() == 0
 
 
