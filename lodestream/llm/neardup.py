@@ -293,11 +293,33 @@ def p7_found(spark: SparkSession, folder: str) -> DataFrame:
 
 def p7_documents(spark: SparkSession, folder: str) -> DataFrame:
     """table_name, record_key, class_id, class_size, links of every record: its class of equal
-    records and how many other classes are near-duplicates of it."""
+    records, named by its least key, and how many other classes are near-duplicates of it."""
     parts = []
     for name, sets, t in SOURCES:
         membership, links = near_duplicates(sets(spark, folder), t)
         ends = links.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
         rows = membership.join(ends, "class_id", "left")
-        parts.append(rows.select(F.lit(name).alias("table_name"), F.col("key").alias("record_key"), "class_id", "class_size", F.coalesce("links", F.lit(0)).cast("bigint").alias("links")))
+        parts.append(rows.select(F.lit(name).alias("table_name"), F.col("key").alias("record_key"), F.col("representative").alias("class_id"), "class_size", F.coalesce("links", F.lit(0)).cast("bigint").alias("links")))
     return parts[0].unionByName(parts[1])
+
+
+def _pairs_sql(items: str, table_name: str, threshold: float) -> str:
+    """SQL for (k, x) items of a table: s the sets, n their sizes, p the pairs, by shared items."""
+    return f"""s_{table_name} AS (SELECT DISTINCT k, x FROM ({items})), n_{table_name} AS (SELECT k, count(*) AS n, md5(string_agg(x, chr(1) ORDER BY x)) AS cls FROM s_{table_name} GROUP BY k),
+        c_{table_name} AS (SELECT a.k AS ka, b.k AS kb, count(*) AS c FROM s_{table_name} a JOIN s_{table_name} b ON a.x = b.x AND a.k < b.k GROUP BY 1, 2),
+        p_{table_name} AS (SELECT ka, kb, na.cls AS ca, nb.cls AS cb FROM c_{table_name} JOIN n_{table_name} na ON na.k = ka JOIN n_{table_name} nb ON nb.k = kb WHERE c >= {threshold} * (na.n + nb.n - c) - 1e-9)"""
+
+
+_REAL = "({0} IS NOT NULL AND lower(trim({0})) NOT IN (SELECT placeholder FROM placeholder_values))"
+_MAIL_ITEMS = r"""SELECT k, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS x FROM
+        (SELECT graph_id AS k, regexp_extract_all(lower(body_plain), '[\p{L}\p{N}]+') AS w FROM outlook_messages WHERE in_reply_to IS NULL AND graph_id IS NOT NULL)"""
+_DEMAND_ITEMS = rf"""SELECT job_id AS k, unnest(regexp_extract_all(lower(job_title || chr(10) || mandatory_skills), '[\p{{L}}\p{{N}}]+')) AS x FROM final_corrected_requirements
+        WHERE job_id IS NOT NULL AND {_REAL.format("job_title")} AND {_REAL.format("mandatory_skills")}"""
+_WITH = f"WITH {_pairs_sql(_MAIL_ITEMS, 'outlook_messages', 0.5)}, {_pairs_sql(_DEMAND_ITEMS, 'final_corrected_requirements', 0.75)} "
+
+P7_FOUND_SQL = _WITH + " UNION ALL ".join(f"SELECT '{name}' AS table_name, ka AS key_a, kb AS key_b FROM p_{name}" for name, _, _ in SOURCES)
+P7_DOCUMENTS_SQL = _WITH + " UNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, n.k AS record_key, min(n.k) OVER (PARTITION BY n.cls) AS class_id, count(*) OVER (PARTITION BY n.cls) AS class_size, coalesce(l.links, 0) AS links FROM n_{name} n
+        LEFT JOIN (SELECT cls, count(DISTINCT other) AS links FROM (SELECT ca AS cls, cb AS other FROM p_{name} WHERE ca <> cb UNION ALL SELECT cb, ca FROM p_{name} WHERE ca <> cb) GROUP BY 1) l ON l.cls = n.cls"""
+    for name, _, _ in SOURCES
+)

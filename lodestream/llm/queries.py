@@ -20,7 +20,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p10_pieces": splitting.p10_pieces,
 }
 
-_SQL: dict[str, str] = {}
+_SQL: dict[str, str] = {
+    "p7_found": neardup.P7_FOUND_SQL,
+    "p7_documents": neardup.P7_DOCUMENTS_SQL,
+}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
