@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from lodestream.operators import history, timestamps, units
 from lodestream.plans import matching, quality, reading, records, storing, streams, texts  # noqa: F401  (they register)
+from lodestream.plans.instants_sql import P4_SQL, P6_SQL
 from lodestream.plans.base import ORACLE, QUERIES, Query, query
 
-for _name, _query in (("p1_found", units.p1_found), ("p4_found", history.p4_found), ("p6_found", timestamps.p6_found)):
-    query(_name)(_query)
+query("p1_found")(units.p1_found)
+query("p4_found", P4_SQL)(history.p4_found)
+query("p6_found", P6_SQL)(timestamps.p6_found)
 
 
 def queries() -> dict[str, Query]:
