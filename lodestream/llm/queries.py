@@ -21,6 +21,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 _SQL: dict[str, str] = {
+    "p3_found": survivor.P3_FOUND_SQL,
     "p7_found": neardup.P7_FOUND_SQL,
     "p7_documents": neardup.P7_DOCUMENTS_SQL,
 }
