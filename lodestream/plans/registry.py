@@ -6,8 +6,9 @@ from lodestream.operators import history, timestamps, units
 from lodestream.plans import matching, quality, reading, records, storing, streams, texts  # noqa: F401  (they register)
 from lodestream.plans.instants_sql import P4_SQL, P6_SQL
 from lodestream.plans.base import ORACLE, QUERIES, Query, query
+from lodestream.plans.units_sql import P1_SQL
 
-query("p1_found")(units.p1_found)
+query("p1_found", P1_SQL)(units.p1_found)
 query("p4_found", P4_SQL)(history.p4_found)
 query("p6_found", P6_SQL)(timestamps.p6_found)
 
