@@ -268,7 +268,7 @@ def sender_frequency(blocks: DataFrame) -> np.ndarray:
     # at most 64 rows come back, each of at most 16,384 counts
     packed = sums.groupBy("chunk").agg(F.collect_list("slot").alias("slots"), F.collect_list("n").alias("n"))
     out = np.zeros(size, np.uint8)
-    for row in packed.toLocalIterator():
+    for row in packed.collect():
         out[(row["chunk"] << 14) + np.array(row["slots"])] = row["n"]
     return out
 
