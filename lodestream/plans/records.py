@@ -123,3 +123,13 @@ def event_attributes(spark, folder):
     """A5, SC20, SC21, N22: the keys of a JSON column with their counts."""
     e = table(spark, folder, "events").where(F.try_parse_json("props").isNotNull()).select(F.explode(F.from_json("props", "map<string,string>")).alias("name", "v"))
     return e.groupBy("name").agg(F.count("*").alias("n"), F.countDistinct("v").alias("values"))
+
+
+@query("segment_blocks")
+def segment_blocks(spark, folder):
+    """SG1, SG2, SG4-SG6, SG10, SG11: mails cut into records by the first strategy that fits (no oracle: line states; tested on fixtures)."""
+    from lodestream.operators.segment import segmented
+
+    m = mails(spark, folder).where("graph_id is not null").select("graph_id", N.unquoted_head(F.col("body_plain")).alias("head"))
+    b = segmented(m, "head")
+    return b.select("graph_id", "block_no", "strategy", F.length("block").cast("bigint").alias("chars"), F.try_element_at("fields", F.lit("job_title")).alias("job_title"), F.try_element_at("fields", F.lit("location")).alias("location"))
