@@ -14,6 +14,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -66,13 +67,9 @@ def distance(a: str, b: str, most: int) -> int:
     return row[-1]
 
 
-def deletions(word: str, most: int) -> set[str]:
-    """word and what is left of it after up to ``most`` deletions."""
-    out, last = {word}, {word}
-    for _ in range(most):
-        last = {w[:k] + w[k + 1 :] for w in last for k in range(len(w))}
-        out |= last
-    return out
+def letters(word: str) -> np.ndarray:
+    """How often each letter occurs, in 32 slots."""
+    return np.bincount(np.frombuffer(word.encode("utf-32-le"), np.uint32) & 31, minlength=32)
 
 
 def edits(length: int) -> int:
@@ -112,11 +109,10 @@ class Names:
         for k, (_, words) in enumerate(self.names):
             for w in set(words):
                 self.having[w].append(k)
-        self.near: dict[str, set[str]] = defaultdict(set)
-        for w in self.idf:
-            if w.isalpha():
-                for v in deletions(w, edits(len(w))):
-                    self.near[v].add(w)
+        self.plain = [w for w in self.idf if w.isalpha()]
+        self.lengths = np.array([len(w) for w in self.plain], np.int64)
+        self.edits = np.array([edits(len(w)) for w in self.plain], np.int64)
+        self.letters = np.array([letters(w) for w in self.plain], np.int64).reshape(-1, 32)
         self.by_letter: dict[str, list[str]] = defaultdict(list)
         for w in self.idf:
             if w not in joined:
@@ -133,12 +129,15 @@ class Names:
         if token in PLAIN and not (self.kind == "job_title" and token == "tech") or not token.isalpha() or len(token) < 2 or found:
             return list(found.items())
         mine = edits(max(4, len(token) + 1)) if self.kind == "job_title" else edits(len(token) + 1)
-        for v in deletions(token, mine):
-            for w in self.near.get(v, ()):
-                most = min(edits(len(w)), mine)
-                d = distance(token, w, most)
-                if d <= most:
-                    found[w] = max(found.get(w, 0), 1 - d / max(len(w), len(token)) * 0.9)
+        most = np.minimum(self.edits, mine)
+        # an edit changes a word's length by 1 and its letters by 2 at most
+        near = np.flatnonzero(np.abs(self.lengths - len(token)) <= most)
+        near = near[np.abs(self.letters[near] - letters(token)).sum(1) <= 2 * most[near]]
+        for k in near.tolist():
+            w = self.plain[k]
+            d = distance(token, w, int(most[k]))
+            if d <= most[k]:
+                found[w] = max(found.get(w, 0), 1 - d / max(len(w), len(token)) * 0.9)
         stem = token[:-1] if len(token) > 3 and token[-1] == "s" else token
         stem = stem[:-1] if len(stem) > 3 and stem[-1] == stem[-2] else stem
         for w in self.by_letter.get(stem[0], ()) if len(stem) > 2 else ():
