@@ -33,7 +33,7 @@ BITMAP = 512
 #: Sets of one item that meet in one place; a more frequent item is split.
 BLOCK = 50_000
 #: Items of all sets for each part of the join.
-ENTRIES = 2_000_000
+ENTRIES = 5_000_000
 #: Pairs that are looked at together.
 PAIRS = 400_000
 
