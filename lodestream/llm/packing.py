@@ -229,12 +229,15 @@ def number_runs(df: DataFrame, key: str, length: str, out: str, buckets: int = 2
     return df.withColumn("__k", inside).join(shift, "__bucket").withColumn(out, (F.col("__shift") + F.col("__k")).cast("bigint")).drop("__bucket", "__shift", "__k")
 
 
+#: (max_tokens, overlap_tokens) of a purpose that token_limits doesn't have.
+DEFAULTS = {"container": (2048, 0), "piece": (512, 48)}
+
+
 def limit(spark: SparkSession, folder: str, purpose: str) -> tuple[int, int]:
-    """(max_tokens, overlap_tokens) of a purpose in token_limits; of several the lowest limit_id."""
-    row = table(spark, folder, "token_limits").where(F.col("purpose") == purpose).orderBy("limit_id").first()
-    if row is None:
-        raise ValueError(f"token_limits has no {purpose}")
-    return row["max_tokens"], row["overlap_tokens"] or 0
+    """(max_tokens, overlap_tokens) of a purpose in token_limits; of several the lowest
+    limit_id, of none the default."""
+    row = table(spark, folder, "token_limits").where((F.col("purpose") == purpose) & (F.col("max_tokens") > 0)).orderBy("limit_id").first()
+    return (row["max_tokens"], row["overlap_tokens"] or 0) if row else DEFAULTS[purpose]
 
 
 def p9_containers(spark: SparkSession, folder: str, path: str = VOCABULARY) -> DataFrame:
