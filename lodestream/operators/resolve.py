@@ -1,12 +1,13 @@
 """Entity resolution: identities, blocked similarity with renormalised weights, decisions (E, R).
 
-Within a block, records are compared with their predecessor in order of arrival, so a block
-of any size takes as many comparisons as it has rows; equal records are collapsed first.
+``score_candidates`` decides each record against all earlier ones that may be the same;
+``score_neighbours`` only against its predecessor in a block. Equal records are collapsed first.
 """
 
 from __future__ import annotations
 
 import difflib
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -16,6 +17,7 @@ from pyspark.sql import types as T
 
 from lodestream.functions import extract as X
 from lodestream.functions.text import normal_form
+from lodestream.session import cut
 
 #: Weights and thresholds of the score (fixed values).
 TITLE, SKILLS, EXPERIENCE = 0.4, 0.4, 0.2
@@ -55,6 +57,110 @@ def score_neighbours(rows: DataFrame, block: list[str], order: list[str], title:
     return df.withColumn("decision", decision).drop("__title", "__skills", "__exp")
 
 
+#: Place names by city (fixed values); what fits none of them names no city.
+CITIES = (
+    (r"bengaluru|bangalore|electronic\s*city|whitefield|manyata|bdc\d*\w*", "bangalore"), (r"mumbai|bombay|navi\s*mumbai|thane|airoli|mdc(?:-\d+|\d*\w*)", "mumbai"),
+    (r"pune|hinjewadi|magarpatta|pdc\d*\w*", "pune"), (r"hyderabad|secunderabad|gachibowli|madhapur|hitec\s*city|hdc\d*\w*", "hyderabad"),
+    (r"chennai|madras|sholinganallur|omr|t\s*nagar|cdc\d*\w*", "chennai"), (r"gurgaon|gurugram|cyber\s*city|ddc\d*\w*", "gurgaon"), (r"noida|greater\s*noida", "noida"), (r"mysore|mysuru", "mysore"),
+    (r"kolkata|calcutta|kdc\d*\w*", "kolkata"), (r"delhi|new\s*delhi|ncr", "delhi"), (r"coimbatore", "coimbatore"), (r"kochi|cochin", "kochi"), (r"chandigarh|mohali", "chandigarh"), (r"ahmedabad", "ahmedabad"),
+    (r"trivandrum|thiruvananthapuram", "trivandrum"), (r"bhubaneswar", "bhubaneswar"), (r"indore", "indore"), (r"jaipur", "jaipur"),
+)
+_NO_CITY = r"\b(?:any\s+(?:\w+\s+)?(?:location|office)|client\s+(?:location|site|office)|pan\s+india)\b"
+
+
+def city_of(location: Column) -> Column:
+    """The city that a location names, null where it names none."""
+    place = normal_form(location)
+    return F.when(~place.rlike(_NO_CITY), X.ladder(place, [(rf"\b(?:{p})\b", name) for p, name in CITIES]))
+
+
+def prefix_entries(rows: DataFrame, key: str, group: str, items: Column, keep: Column) -> DataFrame:
+    """(key, group, item): of each row its first ``keep`` items, those that are rarest in the
+    group first. What only one row of the group holds counts, but is left out."""
+    e = rows.select(key, group, keep.alias("__keep"), F.explode(items).alias("item"))
+    n = e.groupBy(group, "item").agg(F.count("*").alias("__n"))
+    rank = F.row_number().over(W.partitionBy(key).orderBy("__n", "item"))
+    return e.join(n, [group, "item"]).withColumn("__rank", rank).where("__rank <= __keep and __n > 1").select(key, group, "item")
+
+
+def jaccard_prefix(n: Column, threshold: float) -> Column:
+    """Two sets of Jaccard similarity >= threshold share an item among so many first ones."""
+    return n - F.ceil(n * threshold - 1e-9) + 1
+
+
+#: A pair of score POSSIBLE needs this similarity of skills where both sides have some (title and
+#: experience 1), and this one of titles where the skills don't count.
+LEAST_SKILLS = (POSSIBLE - TITLE - EXPERIENCE) / SKILLS - 1e-5
+LEAST_TITLE = (POSSIBLE * (TITLE + EXPERIENCE) - EXPERIENCE) / TITLE - 1e-5
+
+
+def score_candidates(rows: DataFrame) -> DataFrame:
+    """(job_id, score, decision, candidate): each record's best decision against all earlier
+    ones, by job_id, of its client in the same city, without a city, or with the same id; of
+    the whole client where it has no city itself.
+
+    ``rows`` has job_id, client, city, client_jd_id, title, skills and experience; records
+    without client or title are left out. The same id decides for DUPLICATE, two different
+    ids or cities against it, else the weighted score. ``score`` and ``candidate`` are null
+    under POSSIBLE. Distinct profiles meet on the rarest of their skills, as many as the
+    least score needs; where a side has no skills to compare, the client's titles of like
+    length or with a common word meet.
+    """
+    rows = rows.where("job_id is not null and client is not null and title <> ''").withColumn("client_jd_id", F.nullif(F.trim("client_jd_id"), F.lit(""))).distinct()
+    fields = ["client", "city", "client_jd_id", "title", "skills", "experience"]
+    # xxhash64 skips nulls, so their places count
+    rows = cut(rows.withColumn("pid", F.xxhash64(*fields, *[F.col(c).isNull() for c in fields])))
+    profiles = cut(rows.groupBy("pid", *fields).agg(F.min("job_id").alias("first")).withColumn("tokens", X.tokens(F.col("skills"))))
+    kept = [F.col(c) for c in ("pid", "client", "city", "client_jd_id", "first")]
+
+    def met(a: DataFrame, b: DataFrame, on: list[str], more: Column) -> DataFrame:
+        """Pairs of profiles whose ids allow a score; b is the earlier one."""
+        open_ids = F.col("a.client_jd_id").isNull() | F.col("b.client_jd_id").isNull()
+        equal = [F.col(f"a.{c}") == F.col(f"b.{c}") for c in on]
+        j = a.alias("a").join(b.alias("b"), equal).where(open_ids & (F.col("b.first") < F.col("a.first")) & more)
+        return j.select(F.col("a.pid").alias("pa"), F.col("b.pid").alias("pb"))
+
+    def in_city(e: DataFrame, f: DataFrame, on: list[str], more: Column) -> list[DataFrame]:
+        """The equi-joins of the search: the same city, the earlier without one, the later without one."""
+        here, nowhere = (lambda x: x.where("city is not null")), (lambda x: x.where("city is null"))
+        return [met(here(e), here(f), [*on, "city"], more), met(e, nowhere(f), on, more), met(nowhere(e), here(f), on, more)]
+
+    some = profiles.where(F.size("tokens") > 0)
+    entries = prefix_entries(some, "pid", "client", F.col("tokens"), jaccard_prefix(F.size("tokens"), LEAST_SKILLS))
+    entries = cut(entries.drop("client").join(profiles.select(*kept), "pid"))
+    pairs = in_city(entries, entries, ["client", "item"], F.lit(True))
+    # without skills on a side, or with none to compare on both, the titles decide
+    longer, shorter = (f(F.length("a.title"), F.length("b.title")) for f in (F.greatest, F.least))
+    alike = (shorter >= longer * LEAST_TITLE) | F.arrays_overlap(X.words(F.col("a.title")), X.words(F.col("b.title")))
+    titled = profiles.select(*kept, "title", "tokens")
+    bare, none, full = titled.where("tokens is null"), titled.where(F.size("tokens") == 0), titled.where("tokens is not null")
+    for a, b in ((bare, titled), (full, bare), (none, none)):
+        pairs += in_city(a, b, ["client"], alike)
+    pairs = cut(reduce(DataFrame.unionByName, pairs).distinct())
+
+    side = lambda x: profiles.select(F.col("pid").alias(f"p{x}"), F.col("title").alias(f"title_{x}"), F.col("tokens").alias(f"tokens_{x}"), X.number_range(F.col("experience")).alias(f"years_{x}"), F.col("first").alias(f"first_{x}"))
+    mine, other = F.col("years_a"), F.col("years_b")
+    score = X.weighted([
+        (TITLE, title_score(F.col("title_a"), F.col("title_b"))),
+        (SKILLS, X.jaccard(F.col("tokens_a"), F.col("tokens_b"))),
+        (EXPERIENCE, X.overlap(mine["low"], mine["high"], other["low"], other["high"])),
+    ])
+    scored = pairs.join(side("a"), "pa").join(side("b"), "pb").withColumn("score", F.round(score, 6)).where(F.col("score") >= POSSIBLE)
+    best = scored.groupBy(F.col("pa").alias("pid")).agg(F.min_by(F.struct("score", "first_b"), F.struct((-F.col("score")).alias("against"), "first_b")).alias("best"))
+
+    # who came first: in the client, its city, without a city, with the id
+    first = lambda name, *by, where="true": profiles.where(where).groupBy(*by).agg(F.min("first").alias(name))
+    d = rows.select("job_id", "pid", "client", "city", "client_jd_id").join(profiles.select("pid", "first"), "pid").join(best, "pid", "left")
+    d = d.join(first("of_client", "client"), "client").join(first("of_none", "client", where="city is null"), "client", "left")
+    d = d.join(first("of_city", "client", "city", where="city is not null"), ["client", "city"], "left").join(first("of_id", "client", "client_jd_id", where="client_jd_id is not null"), ["client", "client_jd_id"], "left")
+    earlier = F.when(F.col("city").isNull(), F.col("of_client")).otherwise(F.least("of_city", "of_none", "of_id")) < F.col("job_id")
+    same = F.least(*[F.when(F.col(c) < F.col("job_id"), F.col(c)) for c in ("first", "of_id")])
+    found = F.when(same.isNotNull(), F.struct(F.lit(1.0).alias("score"), same.alias("candidate"))).otherwise(F.struct(F.col("best.score").alias("score"), F.col("best.first_b").alias("candidate")))
+    d = d.withColumn("f", found).groupBy("job_id").agg(F.max(F.coalesce(earlier, F.lit(False))).alias("earlier"), F.min_by("f", F.struct((-F.coalesce("f.score", F.lit(0.0))).alias("against"), "f.candidate")).alias("f"))
+    decision = F.when(F.col("f.score") >= DUPLICATE, "DUPLICATE").when(F.col("f.score") >= POSSIBLE, "POSSIBLE").when(F.col("earlier"), "NEW").otherwise("FIRST")
+    return d.select("job_id", "f.score", decision.alias("decision"), "f.candidate")
+
+
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff/Obershelp similarity, batch by batch over Arrow; null where a side is null."""

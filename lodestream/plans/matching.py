@@ -147,7 +147,7 @@ _TOKENS = "list_distinct(list_filter(list_transform(regexp_split_to_array({}, '[
         round(len(list_intersect(a, b)) / greatest(len(list_distinct(list_concat(a, b))), 1), 4) AS skills_jaccard FROM j""",
 )
 def neighbour_similarity(spark, folder):
-    """Similarities to the record before in the block of client and city."""
+    """Similarities to the record before in the block of client and typed location; all candidates are in candidate_decisions."""
     from lodestream.functions.text import normal_form
 
     d = demands(spark, folder).where("requirement_from is not null and location is not null and job_title is not null and job_id is not null and mandatory_skills is not null")
@@ -183,7 +183,7 @@ _DECISIONS = f"""WITH d AS (SELECT DISTINCT job_id, {NORM.format('requirement_fr
 
 @query("resolution_decisions", _DECISIONS)
 def resolution_decisions(spark, folder):
-    """Weighted decision on each record against the one before in its block."""
+    """Weighted decision on each record against the one before in its block of client and typed location alone; candidate_decisions looks at all candidates."""
     from lodestream.functions.text import normal_form
 
     d = demands(spark, folder).where("job_id is not null").select("job_id", normal_form(F.col("requirement_from")).alias("client"), normal_form(F.col("location")).alias("city"), normal_form(F.col("job_title")).alias("title"), "mandatory_skills", "overall_experience").distinct()
@@ -192,6 +192,15 @@ def resolution_decisions(spark, folder):
     return scored.select("job_id", "score", "decision")
 
 
+@query("candidate_decisions")
+def candidate_decisions(spark, folder):
+    """The best decision on each record against all earlier candidates (no oracle: brute force in the tests)."""
+    from lodestream.functions.text import normal_form
+
+    d = demands(spark, folder).select("job_id", normal_form(F.col("requirement_from")).alias("client"), R.city_of(F.col("location")).alias("city"), "client_jd_id", normal_form(F.col("job_title")).alias("title"), F.col("mandatory_skills").alias("skills"), F.col("overall_experience").alias("experience"))
+    return R.score_candidates(d)
+
+
 @query("sequence_ratio")
 def sequence_ratio(spark, folder):
     """Ratcliff/Obershelp similarity of a demand's subject and title, each distinct pair once (no oracle: no SQL form)."""
