@@ -161,6 +161,35 @@ def score_candidates(rows: DataFrame) -> DataFrame:
     return d.select("job_id", "f.score", decision.alias("decision"), "f.candidate")
 
 
+def _grams(c: Column) -> Column:
+    """Pairs of adjacent characters, each with its number among equal ones."""
+    pairs = F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2)))
+    return F.transform(pairs, lambda x, i: F.concat(x, F.size(F.filter(F.slice(pairs, F.lit(1), i + 1), lambda y: y == x)).cast("string")))
+
+
+def near_titles(left: DataFrame, right: DataFrame, threshold: float = 0.8) -> DataFrame:
+    """(client, title, stored_title, score) of all titles of left and right (client, title), of 3
+    characters or more, with one client and an edit similarity or a Jaccard similarity of
+    words of at least ``threshold``; the score is the better of both.
+
+    Each of k edits touches two pairs of characters, so titles that near share one among their
+    2 k + 1 rarest; likewise words. A title's partner is at most its length / threshold long.
+    """
+    tagged = lambda df, side: df.where("client is not null and length(title) >= 3").select(F.struct(F.lit(side).alias("side"), "client", "title").alias("key"), "client", "title").distinct()
+    rows = cut(tagged(left, "l").unionByName(tagged(right, "r")))
+    most_edits = F.floor(F.length("title") * (1 - threshold) / threshold + 1e-9)
+    words = X.words(F.col("title"))
+    size = {"grams": F.length, "words": lambda c: F.size(X.words(c))}
+    met = []
+    for what, items, keep in (("grams", _grams(F.col("title")), 2 * most_edits + 1), ("words", words, jaccard_prefix(F.size(words), threshold))):
+        entries = cut(prefix_entries(rows, "key", "client", items, keep).select("client", "item", "key.side", "key.title").withColumn("n", size[what](F.col("title"))))
+        a, b = (entries.where(F.col("side") == x).select("client", "item", F.col("title").alias(f"title_{x}"), F.col("n").alias(f"n_{x}")) for x in "lr")
+        met.append(a.join(b, ["client", "item"]).where(F.least("n_l", "n_r") >= F.greatest("n_l", "n_r") * threshold - 1e-9).select("client", F.col("title_l").alias("title"), F.col("title_r").alias("stored_title")))
+    edit = 1 - F.levenshtein("title", "stored_title") / F.greatest(F.length("title"), F.length("stored_title"))
+    score = F.greatest(edit, F.coalesce(X.jaccard(X.words(F.col("title")), X.words(F.col("stored_title"))), F.lit(0.0)))
+    return cut(met[0].unionByName(met[1]).distinct()).withColumn("score", score).where(F.col("score") >= threshold)
+
+
 @F.pandas_udf(T.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff/Obershelp similarity, batch by batch over Arrow; null where a side is null."""

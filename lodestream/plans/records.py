@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from lodestream.functions import extract as X
 from lodestream.functions import text as N
+from lodestream.operators.resolve import near_titles
 from lodestream.plans.base import query
 from lodestream.plans.matching import demands, mails, stored
 from lodestream.plans.texts import LOWER, NORM
@@ -62,7 +63,7 @@ _SIM = "1 - levenshtein(a.title, b.title) / greatest(length(a.title), length(b.t
         SELECT a.client, a.title, b.title AS stored_title, round({_SIM}, 4) AS score FROM d a JOIN s b ON a.client = b.client AND substr(a.title, 1, 4) = substr(b.title, 1, 4) WHERE {_SIM} >= 0.8""",
 )
 def fuzzy_title_lookup(spark, folder):
-    """Titles of one client that are nearly equal; distinct titles meet in blocks of client and beginning."""
+    """Titles of one client that begin alike and are nearly equal; distinct titles meet in blocks of client and beginning. Whatever the beginning: fuzzy_title_matches."""
     d = demands(spark, folder).select(N.normal_form(F.col("requirement_from")).alias("client"), N.normal_form(F.col("job_title")).alias("title"))
     s = stored(spark, folder).select(N.normal_form(F.get_json_object("payload_json", "$.requirement_from")).alias("client"), N.normal_form(F.get_json_object("payload_json", "$.job_title")).alias("stored_title"))
     d = d.where("client is not null and length(title) >= 4").distinct().withColumn("block", F.substring("title", 1, 4))
@@ -71,6 +72,14 @@ def fuzzy_title_lookup(spark, folder):
     return d.join(s, ["client", "block"]).withColumn("score", score).where("score >= 0.8").select("client", "title", "stored_title", F.round("score", 4).alias("score"))
 
 
+@query("fuzzy_title_matches")
+def fuzzy_title_matches(spark, folder):
+    """All titles of one client that are nearly equal by edits or by words (no oracle: the SQL above has its blocks; brute force in the tests)."""
+    d = demands(spark, folder).select(N.normal_form(F.col("requirement_from")).alias("client"), N.normal_form(F.col("job_title")).alias("title"))
+    s = stored(spark, folder).select(N.normal_form(F.get_json_object("payload_json", "$.requirement_from")).alias("client"), N.normal_form(F.get_json_object("payload_json", "$.job_title")).alias("title"))
+    return near_titles(d, s).withColumn("score", F.round("score", 4))
+
+
 _LINE = f"trim(regexp_replace({LOWER.format('u.line')}, '[ \\t\\n\\r\\f]+', ' ', 'g'), ' ')"
 
 

@@ -59,3 +59,60 @@ def test_candidates_of_a_table(spark, sf):
     d = demands(spark, sf).select("job_id", normal_form(F.col("requirement_from")).alias("client"), R.city_of(F.col("location")).alias("city"), F.nullif(F.trim("client_jd_id"), F.lit("")).alias("client_jd_id"), normal_form(F.col("job_title")).alias("title"), F.col("mandatory_skills").alias("skills"), F.col("overall_experience").alias("experience"))
     got = {x["job_id"]: (x["score"], x["decision"]) for x in registry.queries()["candidate_decisions"](spark, sf).collect()}
     assert got == brute_decisions(spark, d)
+
+
+def _distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        new = [i]
+        for j, y in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+        row = new
+    return row[-1]
+
+
+def brute_titles(left, right):
+    import re
+
+    words = lambda s: {w for w in re.split("[^a-z0-9]+", s) if w}
+    out = set()
+    for c, a in left:
+        for d, b in right:
+            if c == d and c and a and b and min(len(a), len(b)) >= 3:
+                x, y = words(a), words(b)
+                if max(1 - _distance(a, b) / max(len(a), len(b)), len(x & y) / len(x | y) if x | y else 0) >= 0.8:
+                    out.add((c, a, b))
+    return out
+
+
+def test_titles_against_brute_force(spark):
+    r = random.Random(3)
+    bases = ["internal auditor", "release manager", "information security officer", "qa", "dba", "aaaa aaaa", "sap basis administrator iii"]
+
+    def noisy():
+        t = list(r.choice(bases))
+        for _ in range(r.randrange(5)):
+            k = r.randrange(len(t) + 1)
+            t[k : k + r.randrange(2)] = r.choice(["", "a", " ", "é"])
+        return (r.choice(["acme", "bolt", None]), r.choice(["", "", "sr. ", "re: ", "senior "]) + "".join(t))
+
+    left, right = [noisy() for _ in range(150)], [noisy() for _ in range(150)] + [("acme", None)]
+    df = lambda rows: spark.createDataFrame(rows, "client string, title string")
+    got = [tuple(x)[:3] for x in R.near_titles(df(left), df(right)).collect()]
+    assert len(got) == len(set(got))
+    assert set(got) == brute_titles(left, right)
+
+
+def test_titles_with_other_beginnings(spark):
+    """Pairs that a block of the first four characters loses."""
+    rows = lambda *t: spark.createDataFrame([("acme", x) for x in t], "client string, title string")
+    got = R.near_titles(rows("sr. internal auditor", "rlease manager", "dba", "officer of security and data privacy"), rows("internal auditor", "release manager", "dba", "security and data privacy officer of", "dbo"))
+    assert {(x["title"], x["stored_title"]) for x in got.collect()} == {("sr. internal auditor", "internal auditor"), ("rlease manager", "release manager"), ("dba", "dba"), ("officer of security and data privacy", "security and data privacy officer of")}
+
+
+def test_titles_of_a_table(spark, sf):
+    """The registered query finds all that the blocked one does."""
+    from lodestream.plans import registry
+
+    whole = {tuple(x)[:3] for x in registry.queries()["fuzzy_title_matches"](spark, sf).collect()}
+    assert whole >= {tuple(x)[:3] for x in registry.queries()["fuzzy_title_lookup"](spark, sf).collect()}
