@@ -37,9 +37,8 @@ ENTRIES = 5_000_000
 #: Pairs that are looked at together.
 PAIRS = 400_000
 
-#: Classes of up to this many equal records are expanded into all their pairs; of larger
-#: ones each member is paired with the representative, which alone has the class's links.
-EXPANDED = 16
+#: Members of two classes that are paired in one place; larger classes are cut into cells.
+CELL = 1_000
 
 
 def sketch(sets: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
@@ -250,23 +249,30 @@ def near_duplicates(sets: DataFrame, threshold: float, bits: int = SKETCH_BITS)
     return membership, cut(similar_classes(rows, threshold, bits))
 
 
-def record_pairs(membership: DataFrame, links: DataFrame, expanded: int = EXPANDED) -> DataFrame:
-    """(key_a, key_b) with key_a < key_b from classes and links.
+def record_pairs(membership: DataFrame, links: DataFrame, expanded: int | None = None) -> DataFrame:
+    """(key_a, key_b) with key_a < key_b from classes and links: all pairs of records of one
+    class and of linked ones, whatever their number.
 
-    Classes of up to ``expanded`` records give all pairs. Of a larger class each member is
-    paired with the representative, and the representative has all of the class's links:
-    nothing is lost, as its members' sets are equal.
+    With ``expanded``, a shorter list on request: of a class of more records each member is
+    paired with the representative, and that alone with other classes' records.
     """
-    small = F.col("class_size") <= expanded
-    speaks = membership.where(small | (F.col("key") == F.col("representative"))).select("class_id", "key")
-    side = lambda c: speaks.select(F.col("class_id").alias(c), F.col("key").alias(f"key_{c}"))
-    across = links.join(side("a"), "a").join(side("b"), "b").select("key_a", "key_b").where("key_a <> key_b")
-    several = membership.where("class_size > 1")
-    few = several.where(small).select("class_id", "key")
-    within = few.withColumnRenamed("key", "key_a").join(few.withColumnRenamed("key", "key_b"), "class_id").where("key_a < key_b").select("key_a", "key_b")
-    star = several.where(~small & (F.col("key") != F.col("representative"))).select(F.col("representative").alias("key_a"), F.col("key").alias("key_b"))
-    both = across.unionByName(within).unionByName(star)
-    return both.select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b")).distinct()
+    small = F.lit(True) if expanded is None else F.col("class_size") <= expanded
+    speaks = membership.where(small | (F.col("key") == F.col("representative")))
+    cells = F.when(small, F.ceil(F.col("class_size") / CELL)).otherwise(1)
+    members = speaks.select("class_id", "key", F.pmod(F.xxhash64("key"), cells).alias("cell"))
+    large = membership.where(small & (F.col("class_size") > CELL)).groupBy("class_id").agg(F.first(cells).alias("cells"))
+    within = membership.where(small & (F.col("class_size") > 1)).select("class_id").distinct()
+    met = links.select("a", "b").unionByName(within.select(F.col("class_id").alias("a"), F.col("class_id").alias("b")))
+    for c in "ab":
+        met = met.join(large.select(F.col("class_id").alias(c), F.col("cells").alias(f"cells_{c}")), c, "left")
+        met = met.withColumn(f"cell_{c}", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(f"cells_{c}", F.lit(1)) - 1))).drop(f"cells_{c}")
+    side = lambda c: members.select(F.col("class_id").alias(c), F.col("cell").alias(f"cell_{c}"), F.col("key").alias(f"key_{c}"))
+    # of a class with itself each pair is met twice
+    once = F.when(F.col("a") == F.col("b"), F.col("key_a") < F.col("key_b")).otherwise(F.col("key_a") != F.col("key_b"))
+    pairs = met.join(side("a"), ["a", "cell_a"]).join(side("b"), ["b", "cell_b"]).where(once).select("key_a", "key_b")
+    if expanded is not None:
+        pairs = pairs.unionByName(membership.where(~small & (F.col("key") != F.col("representative"))).select(F.col("representative").alias("key_a"), F.col("key").alias("key_b")))
+    return pairs.select(F.least("key_a", "key_b").alias("key_a"), F.greatest("key_a", "key_b").alias("key_b")).distinct()
 
 
 def opening_mails(spark: SparkSession, folder: str) -> DataFrame:

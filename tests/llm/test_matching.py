@@ -66,6 +66,16 @@ def test_large_classes_give_a_star(spark):
     assert {r["class_size"] for r in membership.collect()} == {60, 1}
 
 
+def test_large_classes_give_all_pairs(spark, monkeypatch):
+    """Equal sets of different texts, more of them than fit one cell, and their links."""
+    monkeypatch.setattr(neardup, "CELL", 7)
+    words = "one two three four five six".split()
+    texts = {f"k{k:03d}": " ".join(words[k % 6 :] + words[: k % 6]) for k in range(40)} | {f"m{k:03d}": " ".join(words[:5] + ["seven"]) for k in range(20)}
+    df = spark.createDataFrame([*texts.items(), ("k000", texts["m000"])], "key string, text string")
+    got = [tuple(r) for r in neardup.record_pairs(*neardup.near_duplicates(wordsets.word_sets(df, "text", 1), 0.7, bits=12)).collect()]
+    assert len(got) == len(set(got)) and set(got) == {(a, b) for a in texts for b in texts if a < b}
+
+
 def test_empty_input(spark):
     sets = wordsets.word_sets(spark.createDataFrame([], "key string, text string"), "text", 3)
     assert neardup.record_pairs(*neardup.near_duplicates(sets, 0.5)).count() == 0
