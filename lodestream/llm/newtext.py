@@ -5,9 +5,10 @@ of lines change. The body that it answers is joined as hashes of its lines, so e
 is known to be, or not, the ancestor's next line. Blocks are classified by gradient-boosted
 trees from contact density, quote depth, sender frequency (how many mails of the sender
 hold the block's lines), ancestor overlap and place; the trees are fitted here, on a
-bounded sample whose labels come from blocks that their form or ancestor gives away. An
-exact check of single lines follows: an ancestor's line in a quote is never new, nor is a
-closing formula, a note of law or a device's footer.
+bounded sample whose labels come from the blocks' forms and the ancestor. Every block has
+one form, so every one has such a label and the trees repeat that rule. An exact check of
+single lines follows: an ancestor's line in a quote is never new, nor is a closing formula,
+a note of law or a device's footer.
 """
 
 from __future__ import annotations
