@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestream.functions import extract as X
-from lodestream.functions.text import ascii_lower
+from lodestream.functions.text import ascii_lower, normal_form
 from lodestream.functions.values import is_real
 from lodestream.operators.resolve import greedy_matches
 from lodestream.plans.base import query
 from lodestream.plans.matching import demands, stored
 from lodestream.plans.texts import LOWER
+from lodestream.session import cut
 from lodestream.sources.tables import table
 
 _CHECKED = ("job_title", "location", "yearly_budget", "work_mode", "notice_period", "overall_experience", "mandatory_skills", "client_poc")
@@ -79,14 +81,77 @@ def holdout_split(spark, folder):
     return table(spark, folder, "documents").groupBy(F.col("lang").isNull().alias("no_lang"), held.alias("is_holdout")).agg(F.count("*").alias("docs"))
 
 
+#: Weights of a pair's fields, and the score under which a sample's field counts as low (fixed values).
+WEIGHTS = {"job_title": 0.4, "experience": 0.2, "skills": 0.2, "location": 0.2}
+LOW = 0.8
+#: Fields compared as sets of tokens, and fields that may be invented: filled where the expected record has none.
+SETS, INVENTED = ("skills", "location"), ("budget", "positions")
+
+
+def _filled(c: str):
+    return F.coalesce(normal_form(F.col(c)), F.lit(""))
+
+
+def field_scores(expected: str, actual: str) -> dict:
+    """Similarity of each field of two prefixed records: by edits, of SETS by tokens; 1 where both are empty."""
+
+    def by_edits(f):
+        a, b = _filled(f"{expected}{f}"), _filled(f"{actual}{f}")
+        return 1 - F.levenshtein(a, b) / F.greatest(F.length(a), F.length(b), F.lit(1))
+
+    by_tokens = lambda f: F.coalesce(X.jaccard(*[X.tokens(_filled(f"{x}{f}")) for x in (expected, actual)]), F.lit(1.0))
+    return {f: by_tokens(f) if f in SETS else by_edits(f) for f in WEIGHTS}
+
+
+def evaluated(expected: DataFrame, actual: DataFrame) -> DataFrame:
+    """One row per sample of expected and actual (client, day, id and the fields of WEIGHTS and INVENTED):
+    how many records each side has and how many were matched, each field's score, and where
+    the sample fails.
+
+    All records of a sample meet, are scored by the weighted fields and matched greedily.
+    Scores are divided by the larger side, so what is left unmatched counts 0. A sample takes
+    as many comparisons as its sides multiply to. Ids are unique within a sample's side.
+    """
+    key = ["client", "day"]
+    side = lambda df, x: df.where("client is not null and day is not null and id is not null").select(F.concat_ws("|", "client", "day").alias("sample"), *key, *[F.col(c).alias(f"{x}_{c}") for c in ("id", *WEIGHTS, *INVENTED)])
+    e, a = cut(side(expected, "e")), cut(side(actual, "a"))
+    scores = field_scores("e_", "a_")
+    # fields that the actual record has and the expected one lacks
+    invented = lambda pre: sum(((_filled(f"a_{f}") != "") & (_filled(f"e_{f}") == "") if pre else _filled(f"a_{f}") != "").cast("int") for f in INVENTED)
+    pairs = e.join(a.drop(*key), "sample").select("sample", "e_id", "a_id", F.col("e_job_title").alias("expected"), F.col("a_job_title").alias("actual"), *[s.alias(f) for f, s in scores.items()], invented(True).alias("invented"))
+    pairs = cut(pairs.withColumn("score", sum(F.col(f) * w for f, w in WEIGHTS.items())))
+    size = pairs.groupBy("sample").agg(F.count("*").alias("n"))
+    # samples of one pair need no choice
+    sized = pairs.join(size, "sample")
+    matched = sized.where("n = 1").drop("n").unionByName(greedy_matches(sized.where("n > 1").drop("n"), "sample", "e_id", "a_id", "score"))
+    matched = cut(matched)
+    best = F.max_by(F.struct("expected", "actual"), F.struct("score", "e_id"))
+    sums = matched.groupBy("sample").agg(F.count("*").alias("matched"), *[F.sum(f).alias(f) for f in WEIGHTS], F.sum("invented").alias("invented"), best.alias("best"))
+    left = a.join(matched.select("sample", "a_id"), ["sample", "a_id"], "left_anti").groupBy("sample").agg(F.sum(invented(False)).alias("unmatched_invented"))
+    n = e.groupBy("sample", *key).agg(F.count("*").alias("n_expected")).join(a.groupBy("sample", *key).agg(F.count("*").alias("n_actual")), ["sample", *key], "full")
+    n = n.join(sums, "sample", "left").join(left, "sample", "left")
+    zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint")
+    n = n.withColumns({c: zero(F.col(c)) for c in ("n_expected", "n_actual", "matched")})
+    n = n.withColumns({f: F.round(F.coalesce(F.col(f), F.lit(0.0)) / F.greatest("n_expected", "n_actual"), 6) for f in WEIGHTS})
+    n = n.withColumn("invented", zero(F.col("invented")) + zero(F.col("unmatched_invented"))).withColumn("low_fields", F.concat_ws(",", *[F.when(F.col(f) < LOW, f) for f in WEIGHTS]))
+    return n.select(*key, "n_expected", "n_actual", "matched", *WEIGHTS, "invented", "low_fields", ((F.col("low_fields") != "") | (F.col("invented") > 0)).alias("is_failure"), F.col("best.expected").alias("expected"), F.col("best.actual").alias("actual"))
+
+
 @query("greedy_eval")
 def greedy_eval(spark, folder):
-    """Expected against actual records of a sample (one job), matched greedily by title and place (no oracle: greedy choice; brute force in the tests)."""
-    e = demands(spark, folder).select("job_id", F.col("job_title").alias("expected"), F.col("location").alias("place")).where("expected is not null").distinct()
-    a = demands(spark, folder).select("job_id", F.col("source_subject").alias("actual")).where("actual is not null").distinct()
-    pairs = e.join(a, "job_id").withColumn("score", F.coalesce(X.jaccard(X.words(F.col("expected")), X.words(F.col("actual"))), F.lit(0.0)))
-    # samples of one pair, nearly all, need no choice
-    size = pairs.groupBy("job_id").agg(F.count("*").alias("n"))
-    pairs = pairs.join(size, "job_id")
-    many = greedy_matches(pairs.where("n > 1").drop("n"), "job_id", "expected", "actual", "score")
-    return pairs.where("n = 1").drop("n").unionByName(many).select("job_id", "expected", "actual", F.round("score", 6).alias("score"))
+    """The demands of a client and day against the stored requirements of the same, matched greedily by four weighted fields; each sample's scores and whether it fails (no oracle: greedy choice; brute force in the tests)."""
+    row = lambda *c: F.concat_ws("|", "job_id", F.xxhash64(*c))
+    d = demands(spark, folder).where("job_id is not null").select("job_id", normal_form(F.col("requirement_from")).alias("client"), F.substring("source_received_time", 1, 10).alias("day"), "job_title", F.col("overall_experience").alias("experience"), F.col("mandatory_skills").alias("skills"), "location", F.col("yearly_budget").alias("budget"), F.col("number_of_positions").cast("string").alias("positions"))
+    of = lambda f: F.get_json_object("payload_json", f"$.{f}")
+    skills = F.coalesce(F.array_join(F.from_json(of("mandatory_skills"), "array<string>"), ","), of("mandatory_skills"))
+    s = stored(spark, folder).where("job_id is not null").select("job_id", normal_form(of("requirement_from")).alias("client"), F.translate("req_date", "/", "-").alias("day"), of("job_title").alias("job_title"), of("overall_experience").alias("experience"), skills.alias("skills"), of("location").alias("location"), of("yearly_budget").alias("budget"), of("number_of_positions").alias("positions"))
+    d, s = (df.distinct().withColumn("id", row(*[F.coalesce(F.col(c), F.lit("\0")) for c in df.columns])) for df in (d, s))
+    return evaluated(d, s)
+
+
+@query("greedy_eval_summary")
+def greedy_eval_summary(spark, folder):
+    """V5: means of greedy_eval over all samples (no oracle, as greedy_eval has none)."""
+    r = greedy_eval(spark, folder)
+    mean = lambda c, name: F.round(F.avg(c), 6).alias(name)
+    return r.agg(F.count("*").alias("samples"), mean(sum(F.col(f) for f in WEIGHTS) / len(WEIGHTS), "overall_accuracy"), *[mean(f, f"{f}_accuracy") for f in WEIGHTS], mean("invented", "invented_rate"), F.count_if("is_failure").alias("failures"))
