@@ -43,7 +43,7 @@ def pending_join_topk(spark, folder):
         SELECT m.conversation_id, o.opener, count(*) AS mails, count(m.in_reply_to) AS replies FROM outlook_messages m LEFT JOIN o USING (conversation_id) GROUP BY 1, 2""",
 )
 def conversation_openers(spark, folder):
-    """Conversations with the mail that opened them; one aggregation, no self-join, so a hot conversation is combined first."""
+    """Conversations with the mail that opened them; one aggregation, no self-join, so a hot conversation is combined first."""
     opener = F.min(F.when(F.col("in_reply_to").isNull(), F.col("graph_id")))
     return mails(spark, folder).groupBy("conversation_id").agg(opener.alias("opener"), F.count("*").alias("mails"), F.count("in_reply_to").alias("replies"))
 
@@ -81,7 +81,7 @@ def tiered_lookup(spark, folder):
         SELECT job_id, location, coalesce(loc, earlier) AS filled FROM w WHERE loc IS NULL AND earlier IS NOT NULL""",
 )
 def history_autofill(spark, folder):
-    """Missing values from the latest earlier record of the same client and title."""
+    """Missing locations from the latest earlier record of the same client and title."""
     from lodestream.functions.text import normal_form
     from lodestream.functions.values import real_or_null
 
@@ -128,7 +128,7 @@ def duplicate_ids(spark, folder):
         SELECT requirement_id, max(CASE WHEN rn = 1 THEN id END) AS kept_id, max(CASE WHEN rn = 1 THEN version_number END) AS kept_version, (count(*) - 1)::BIGINT AS archived FROM r GROUP BY 1""",
 )
 def latest_kept_rest_archived(spark, folder):
-    """The latest version of each entity stays."""
+    """The latest version of each entity stays; the others are counted, not merged."""
     best = F.max_by(F.struct("id", "version_number"), F.struct("version_number", "id"))
     v = versions(spark, folder).groupBy("requirement_id").agg(best.alias("b"), (F.count("*") - 1).alias("archived"))
     return v.select("requirement_id", F.col("b.id").alias("kept_id"), F.col("b.version_number").alias("kept_version"), "archived")
@@ -147,7 +147,7 @@ _TOKENS = "list_distinct(list_filter(list_transform(regexp_split_to_array({}, '[
         round(len(list_intersect(a, b)) / greatest(len(list_distinct(list_concat(a, b))), 1), 4) AS skills_jaccard FROM j""",
 )
 def neighbour_similarity(spark, folder):
-    """Similarities to the record before in the block of client and typed location; all candidates are in candidate_decisions."""
+    """Similarities to the record before in the block of client and typed location; all candidates are in candidate_decisions."""
     from lodestream.functions.text import normal_form
 
     d = demands(spark, folder).where("requirement_from is not null and location is not null and job_title is not null and job_id is not null and mandatory_skills is not null")
@@ -183,7 +183,7 @@ _DECISIONS = f"""WITH d AS (SELECT DISTINCT job_id, {NORM.format('requirement_fr
 
 @query("resolution_decisions", _DECISIONS)
 def resolution_decisions(spark, folder):
-    """Weighted decision on each record against the one before in its block of client and typed location alone; candidate_decisions looks at all candidates."""
+    """Weighted decision on each record against the one before in its block of client and typed location alone; candidate_decisions looks at all candidates."""
     from lodestream.functions.text import normal_form
 
     d = demands(spark, folder).where("job_id is not null").select("job_id", normal_form(F.col("requirement_from")).alias("client"), normal_form(F.col("location")).alias("city"), normal_form(F.col("job_title")).alias("title"), "mandatory_skills", "overall_experience").distinct()
@@ -194,7 +194,7 @@ def resolution_decisions(spark, folder):
 
 @query("candidate_decisions")
 def candidate_decisions(spark, folder):
-    """The best decision on each record against all earlier candidates (no oracle: brute force in the tests)."""
+    """E6, R3, R5, R10, and of E7 the hard rules and the weights of title, skills and experience: the best decision on each record against all earlier candidates (no oracle: brute force in the tests)."""
     from lodestream.functions.text import normal_form
 
     d = demands(spark, folder).select("job_id", normal_form(F.col("requirement_from")).alias("client"), R.city_of(F.col("location")).alias("city"), "client_jd_id", normal_form(F.col("job_title")).alias("title"), F.col("mandatory_skills").alias("skills"), F.col("overall_experience").alias("experience"))
@@ -203,7 +203,7 @@ def candidate_decisions(spark, folder):
 
 @query("sequence_ratio")
 def sequence_ratio(spark, folder):
-    """Ratcliff/Obershelp similarity of a demand's subject and title, each distinct pair once (no oracle: no SQL form)."""
+    """R2: Ratcliff/Obershelp similarity of a demand's subject and title, each distinct pair once (no oracle: no SQL form)."""
     d = demands(spark, folder).where("source_subject is not null and job_title is not null").groupBy("source_subject", "job_title").agg(F.count("*").alias("n_rows"))
     return d.withColumn("ratio", F.round(R.sequence_ratio("source_subject", "job_title"), 6))
 
