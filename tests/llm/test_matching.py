@@ -120,6 +120,21 @@ def test_copied_votes_count_less(spark):
     assert accuracy["b"] > accuracy["a"]
 
 
+def test_honest_sources_are_no_copiers(spark):
+    """a and b share many true values, but differ in a fourth of them; c copies a. The verdict
+    holds for a table of any size."""
+    for size in (24, 96):
+        rows = []
+        for k in range(size):
+            g = f"g{k:02d}"
+            a, b = ("ta"[k % 8 == 0] + str(k), "tb"[k % 8 == 1] + str(k)) if k % 4 < 2 else (f"t{k}", f"t{k}")
+            said = (("a", 1, a), ("b", 2, b), ("c", 3, a), ("d", 4, f"t{k}" if k % 3 else f"d{k}"))
+            rows += [(g, "x", f"{g}{s}", s, at, v, v) for s, at, v in said]
+        fused = survivor.fuse(claims(spark, rows))
+        copy = {r["source"]: r["p"] for r in fused.groupBy("source").agg({"copy": "max"}).toDF("source", "p").collect()}
+        assert copy["b"] < 0.1 and copy["d"] < 0.1 and copy["c"] > 0.3
+
+
 NAMES = {
     "location": [(1, "Pune", ["Poona"]), (2, "Mumbai", ["Bombay"]), (3, "Navi Mumbai", []), (4, "Noida", []), (5, "Greater Noida", []), (6, "Chennai", ["Madras"]), (7, "Chandigarh", []), (8, "Bangalore", ["Bengaluru"])],
     "client": [(11, "Norvane Capital", []), (12, "Norvane Systems", []), (13, "Kelmora Software", ["KEL"]), (14, "Ryndale Labs", [])],
