@@ -42,7 +42,7 @@ CELL = 1_000
 
 
 def sketch(sets: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
-    """How many sets hold an item of each hash bucket, over all sets, capped at 65,535.
+    """How many sets hold an item of each hash bucket, over all sets, in 32 bits.
 
     Every partition counts into a fixed array; the arrays are summed chunk by chunk in
     two steps, so no task and not the driver sees more than a bounded number of them.
@@ -59,22 +59,22 @@ def sketch(sets: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
 
     def packed(total: np.ndarray) -> Iterator[pa.RecordBatch]:
         if total.any():
-            parts = [zlib.compress(x.astype(np.uint16).tobytes(), 1) for x in np.split(np.minimum(total, 65_535), _CHUNKS)]
+            parts = [zlib.compress(x.tobytes(), 1) for x in np.split(total, _CHUNKS)]
             yield pa.RecordBatch.from_pydict({"chunk": pa.array(range(_CHUNKS), pa.int32()), "counts": pa.array(parts, pa.binary())})
 
     def added(t: pa.Table) -> pa.Table:
-        total = np.zeros(size // _CHUNKS, np.uint32)
+        total = np.zeros(size // _CHUNKS, np.uint64)
         for x in t.column("counts"):
-            total += np.frombuffer(zlib.decompress(x.as_py()), np.uint16)
-        return pa.table({"chunk": t.column("chunk").slice(0, 1).combine_chunks(), "counts": pa.array([zlib.compress(np.minimum(total, 65_535).astype(np.uint16).tobytes(), 1)], pa.binary())})
+            total += np.frombuffer(zlib.decompress(x.as_py()), np.uint32)
+        return pa.table({"chunk": t.column("chunk").slice(0, 1).combine_chunks(), "counts": pa.array([zlib.compress(np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes(), 1)], pa.binary())})
 
     kind = "chunk int, counts binary"
     parts = sets.select("items").mapInArrow(count, kind)
     first = parts.withColumn("salt", F.spark_partition_id() % F.lit(max(1, sets.rdd.getNumPartitions() // 64))).groupBy("chunk", "salt").applyInArrow(lambda t: added(t), kind)
-    out = np.zeros(size, np.uint16)
+    out = np.zeros(size, np.uint32)
     step = size // _CHUNKS
     for row in first.groupBy("chunk").applyInArrow(lambda t: added(t), kind).collect():  # 64 rows
-        out[row["chunk"] * step : (row["chunk"] + 1) * step] = np.frombuffer(zlib.decompress(row["counts"]), np.uint16)
+        out[row["chunk"] * step : (row["chunk"] + 1) * step] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
     return out
 
 
@@ -131,7 +131,7 @@ def with_prefixes(rows: DataFrame, threshold: float, counts: np.ndarray, parts:
                 i = np.repeat(np.flatnonzero(hot), blocks[hot])
                 other = (np.arange(len(i)) - np.repeat(np.cumsum(blocks[hot]) - blocks[hot], blocks[hot])).astype(np.uint64)
                 mine = grp[doc[i]] % blocks[i].astype(np.uint64)
-                split = mixed(items[i].view(np.uint64) + mixed(np.minimum(mine, other) * np.uint64(65_536) + np.maximum(mine, other) + np.uint64(1))).view(np.int64)
+                split = mixed(items[i].view(np.uint64) + mixed(np.minimum(mine, other) * np.uint64(1 << 32) + np.maximum(mine, other) + np.uint64(1))).view(np.int64)
                 items = np.concatenate([items[~hot], split])
                 doc, position = np.concatenate([doc[~hot], doc[i]]), np.concatenate([position[~hot], position[i]])
             part = (mixed(items.view(np.uint64)) % np.uint64(parts)).astype(np.int64)

@@ -90,6 +90,14 @@ def test_sketch_never_counts_too_few(spark):
         assert counts[np.uint64(x & (2**64 - 1)) >> np.uint64(52)] >= n
 
 
+def test_sketch_counts_beyond_16_bits(spark):
+    """A hot item keeps its count, so that its blocks don't grow."""
+    from pyspark.sql import functions as F
+
+    counts = neardup.sketch(spark.range(150_000).select(F.col("id").alias("class_id"), F.array(F.lit(1 << 61)).alias("items")), 12)
+    assert counts.max() == counts.sum() == 150_000
+
+
 def claims(spark, rows):
     return spark.createDataFrame(rows, "grp string, field string, row string, source string, at_ms long, value string, raw string")
 
