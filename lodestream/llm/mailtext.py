@@ -40,13 +40,16 @@ _SIGNED = re.compile(r"^(?:~ .{2,40} ~|\*[^*]{2,40}\*|- ?[A-Z][a-z]+)$")
 _CONTACT = re.compile(r"(?:\+?\d[\d ()/-]{7,}\d)|\b(?:www\.|https?://)\S+|\b\S+@\S+\.\w+|^(?:m|t|p|w|e|mob|tel|desk|phone|fax|web|cell)\s?[:.]?\s*\+?[\w.]", re.I)
 _PHONE = re.compile(r"\+\d[\d ()-]{7,}\d")
 _SITE = re.compile(r"^(?:w|web|www)\s?[:.]\s*\S+$", re.I)
-#: Beginnings and phrases of legal notes, banners and device footers (fixed values).
+#: Beginnings of notes, banners and device footers (fixed values).
 _LEGAL = re.compile(
-    r"^(?:disclaimer\s*(?::|$)|important notice$|confidentiality notice|registered office\b|caution: (?:this|external)|\[[^\]]*(?:internal|external|confidential|public)\]$|winner - |follow .{2,60} on "
-    r"|sent from (?:my|mobile|outlook|mail)|get outlook for|von meinem \w+ gesendet|envoyé de mon|enviado desde mi|this (?:e-?mail|message|mail) and (?:its|any)|the (?:content|information) (?:of|in|contained)"
-    r"|you are receiving this|please (?:think|consider) (?:before|the environment)|save paper|no contract is formed|opinions may change|we process personal data|any copying|if you (?:got|received|have received) (?:it|this)"
-    r"|views given here|mails are scanned|this (?:e-?mail|message) (?:is|was|may|contains)\b.{0,60}(?:confidential|privileged|intended|addressee|scanned))"
-    r"|takes no liability|may be privileged|meant only for the addressee|free of malware|without warranty",
+    r"^(?:important notice$|confidentiality notice\b|registered office\b|caution: (?:this|external)|\[[^\]]*(?:internal|external|confidential|public)\]$"
+    r"|sent from (?:my|mobile|outlook|mail)|get outlook for|von meinem \w+ gesendet|envoyé de mon|enviado desde mi|you are receiving this|please (?:think|consider) (?:before|the environment))",
+    re.I,
+)
+#: Words of legal notes; two different ones make a line one (fixed values).
+_LAW = re.compile(
+    r"\b(disclaimers?|confidential\w*|privileged|addressees?|recipients?|liab\w+|unauthori[sz]ed|disclos\w+|copying|dissemination|permitted|prohibited|virus\w*|malware|warrant\w+|privacy"
+    r"|personal data|transmission|by mistake)\b",
     re.I,
 )
 _GREETING = re.compile(r"^(?:hi|hello|hey|dear|greetings|good (?:morning|afternoon|evening|day)|team|guten (?:tag|morgen)|hallo|sehr geehrte|bonjour|buenos días|hola|all|folks)\b.{0,40}[,!:\s-]*$", re.I)
@@ -85,7 +88,7 @@ def kind(line: str) -> str:
         return "closing"
     if _DELIMITER.match(s):
         return "delimiter"
-    if _LEGAL.search(s):
+    if _LEGAL.match(s) or len({x.lower() for x in _LAW.findall(s)}) > 1:
         return "legal"
     if _SIGNED.match(s):
         return "signed"
@@ -99,7 +102,7 @@ def kind(line: str) -> str:
 def intro_at(lines: list[str], i: int) -> int:
     """If lines i.. introduce quoted text, the line after the introduction, else i."""
     s = lines[i].strip()
-    if len(s) > 240 or not s:
+    if not s:
         return i
     if _INTRO.match(s):
         return i + 1

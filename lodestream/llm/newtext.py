@@ -2,40 +2,62 @@
 
 A body is segmented into blocks: paragraphs, cut where quoting, introductions or the form
 of lines change. The body that it answers is joined as hashes of its lines, so each line
-is known to be, or not, the ancestor's next line. Blocks are classified by gradient-boosted
-trees from contact density, quote depth, sender frequency (how many mails of the sender
-hold the block's lines), ancestor overlap and place; the trees are fitted here, on a
-bounded sample whose labels come from the blocks' forms and the ancestor. Every block has
-one form, so every one has such a label and the trees repeat that rule. An exact check of
-single lines follows: an ancestor's line in a quote is never new, nor is a closing formula,
-a note of law or a device's footer.
+is known to be, or not, the ancestor's next line. All blocks, quoted and closing ones too,
+are classified by gradient-boosted trees from contact density, quote depth, sender frequency
+(in what share of the sender's mails the block's lines stand), ancestor overlap, place and
+form; their verdict alone makes the rows.
+
+Nobody labelled the mails, so the trees learn from distant supervision that looks at no
+form: text that the ancestor holds is not new; neither is what stands at or after the first
+line that one sender repeats in many mails and hardly anyone else uses (a signature), nor a
+line that mostly stands right before such a signature or after it; what stands before, or in a
+mail without signature and is no such line, is new. Each
+labelled mail is shown several times, with and without its ancestor and the frequencies, so
+the trees also learn to judge by form where the one or the other is unknown.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodestream.llm.bpe import ragged
 from lodestream.llm.gbt import Boosted
-from lodestream.llm.mailtext import _COMPARES, intro_at, kind, lines_of, one_less
+from lodestream.llm.mailtext import _COMPARES, _PHONE, intro_at, kind, lines_of, one_less
 from lodestream.llm.tokens import chunks
 from lodestream.session import cut
 from lodestream.sources.tables import table
 
-#: The classifier is fitted on the blocks of at most so many mails.
+#: The classifier is fitted on the labelled blocks of at most so many mails.
 SAMPLE_MAILS = 3_000
-#: Quoted lines of a mail that serve as examples of what is not new.
-LEARNT = 8
-#: Counters of the sender frequency sketch.
-FREQUENCY_BITS = 20
-
-FEATURES = ("lines", "length", "contact", "names", "depth", "overlap", "quoted", "frequency", "closing", "legal", "greeting", "after_end", "place", "sentence", "listed", "marked")
+#: A line is a sender's own, like a signature, if at least so many and this share of the
+#: sender's mails hold it, and this share of all mails that do are the sender's.
+OWN_MAILS, OWN_SHARE, OWN_PART = 4, 0.4, 0.8
+#: Lines are known as common from this share of all mails on; so at most 1 / share times the
+#: mean number of lines of a mail are known.
+COMMON_SHARE = 0.001
+
+#: What is known of a block from its mail and its ancestor, then from the corpus.
+FORM = ("lines", "length", "contact", "names", "depth", "overlap", "held", "quoted", "intro", "closing", "legal", "greeting", "after_end", "place", "sentence", "listed", "marked", "delimiter", "first")
+CORPUS = ("own", "habit", "spread", "begun")
+FEATURES = FORM + CORPUS
+
+#: Blocks whose label is known beforehand, by the features that are not 0, at each of PLACES
+#: and with one line or three. They matter only where the mails give hardly any labels.
+PRIOR = (
+    ({"length": 60, "sentence": 1}, 1), ({"length": 60}, 1), ({"length": 10, "greeting": 1}, 1), ({"length": 40, "listed": 1}, 1),
+    ({"length": 8, "closing": 1, "after_end": 1}, 0), ({"length": 20, "names": 0.5, "after_end": 1}, 0), ({"length": 20, "contact": 1, "after_end": 1}, 0), ({"length": 80, "legal": 1, "sentence": 1, "after_end": 1}, 0),
+    ({"length": 60, "quoted": 1, "overlap": 1, "held": 1, "sentence": 1}, 0), ({"length": 60, "quoted": 1, "depth": 1, "marked": 1}, 0), ({"length": 60, "quoted": 1}, 0), ({"length": 40, "after_end": 1, "delimiter": 1}, 0),
+)
+PLACES = (0.0, 0.25, 0.5, 0.75, 1.0)
 
 _NAME = re.compile(r"^[*~ ]*([^\W\d_][\w'.-]*(?: [^\W\d_][\w'.-]*){0,3})[*~ ]*(?:\(.{2,60}\))?$")
 _SENTENCE = re.compile(r"[.?!]$|\b(?:the|and|with|for|is|are|of|to|we|please|kindly)\b", re.I)
@@ -62,17 +84,18 @@ def _is_name(line: str, words: set[str], local: str) -> bool:
     return len(own) == 2 and any(w in local for w in own) and all(w[0] in local for w in own)
 
 
-def parse(body: str, parent: list[int] | None, sender: str | None, name: str | None) -> list[tuple[int, str, bool, bool, int, int]]:
-    """(line number, text, quoted, after_end, depth, overlap) of the lines that aren't blank.
+def parse(body: str, parent: list[int] | None, sender: str | None, name: str | None) -> list[tuple[int, str, bool, bool, int, bool, bool, bool]]:
+    """(line number, text, quoted, after_end, depth, overlap, run, intro) of the lines that aren't blank.
 
     quoted: in a quote of earlier mails or introducing one. after_end: past the sender's
-    closing or name. depth: quote marks before the text. overlap: the ancestor has the line.
-    Of the quoted lines, which their place and mark make evident, the first LEARNT are given.
+    closing or name. depth: quote marks before the text. overlap: the ancestor has the line;
+    run: and next to it the line that is next to it here. intro: it introduces a quote.
     """
     lines = lines_of(body)
     n = len(lines)
     old = [False] * n
     begin, style = _quote_begins(lines, parent)
+    intro: set[int] = set()
     known = begin is not None
     held = set(parent or ())
     if begin is None:
@@ -85,17 +108,17 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
         if begin is not None:
             q = next((k for k in range(begin, n) if lines[k].strip()), n)
             style = lines[q].lstrip()[:1] if q < n and lines[q].lstrip()[:1] in (">", "|") else ""
-            for k in range(first, begin):
-                old[k] = True
+            intro.update(range(first, begin))
     else:
         k = begin - 1
         while k >= 0 and not lines[k].strip():
             k -= 1
         for i in range(max(0, k - 8), k + 1):  # the introduction right before the quote
             if intro_at(lines, i) > k:
-                for x in range(i, begin):
-                    old[x] = True
+                intro.update(range(i, begin))
                 break
+    for k in intro:
+        old[k] = True
     if begin is not None:
         for k in range(begin, n):
             s = lines[k].lstrip()
@@ -114,16 +137,12 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
     local = (sender or "").split("@")[0].lower()
     out = []
     ended = False
-    seen = quoted = 0
+    seen = 0
     for k, line in enumerate(lines):
         s = line.strip()
         if not s:
             continue
-        if old[k]:  # evident; some of it is kept to learn from
-            quoted += 1
-            if quoted > LEARNT:
-                continue
-        elif not ended:
+        if not old[k] and not ended:
             what = kind(s)
             if what == "closing" or _is_name(s, words, local) and seen:
                 ended = True
@@ -139,9 +158,23 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
         while t[:1] in (">", "|") and (t[:1] == ">" or depth or style == "|"):
             depth += 1
             t = t[1:].lstrip()
-        here = bool(held) and (hashed(one_less(s)) in held or hashed(s) in held)
-        out.append((k + 1, s, old[k], ended, depth, here))
-    return out
+        out.append((k + 1, s, old[k], ended, depth, False, False, k in intro))
+    return _overlapping(out, parent) if parent else out
+
+
+def _overlapping(rows: list[tuple], parent: list[int]) -> list[tuple]:
+    """rows with whether the ancestor has the line, and has it beside a neighbour of it."""
+    where: dict[int, set[int]] = {}
+    for k, h in enumerate(parent):
+        where.setdefault(h, set()).add(k)
+    none: set[int] = set()
+    at = [where.get(hashed(one_less(r[1])), none) | where.get(hashed(r[1]), none) for r in rows]
+    filled = [k for k, r in enumerate(rows) if r[1].strip(">| ")]  # marks alone are no neighbours
+    run = [False] * len(rows)
+    for i, j in zip(filled, filled[1:]):
+        if at[i] and at[j] and any(x + 1 in at[j] for x in at[i]):
+            run[i] = run[j] = True
+    return [(*r[:5], bool(a), b or bool(a) and len(parent) == 1, r[7]) for r, a, b in zip(rows, at, run)]
 
 
 def _quote_begins(lines: list[str], parent: list[int] | None) -> tuple[int | None, str]:
@@ -178,130 +211,224 @@ def _quote_begins(lines: list[str], parent: list[int] | None) -> tuple[int | Non
     return None, ""
 
 
-def blocks_of(parsed: list[tuple[int, str, bool, bool, int, int]]) -> list[list[tuple]]:
-    """Lines in blocks: paragraphs, cut where quoting, the end or the lines' form changes."""
+@lru_cache(maxsize=200_000)
+def form(line: str) -> tuple[str, bool, bool, bool]:
+    """What a line is by itself: its kind, whether it looks like a name, a sentence, an item."""
+    return kind(line), bool(_NAME.match(line)), bool(_SENTENCE.search(line)), bool(_LISTED.match(line))
+
+
+def blocks_of(parsed: list[tuple]) -> list[list[tuple]]:
+    """Lines in blocks: paragraphs, cut where quoting, the end or the lines' form changes. An
+    introduction and the quoted paragraph after it are one block."""
     out: list[list[tuple]] = []
     before = None
     for row in parsed:
-        what = kind(row[1])
-        form = (row[2], row[3], row[4], "text" if what in ("text", "greeting") else what)
-        if before is None or row[0] != before[0] + 1 or form != before[1]:
+        what = form(row[1])[0]
+        shape = (row[2], row[3], row[4], "text" if what in ("text", "greeting") or row[2] else what)
+        joins = before is not None and row[2] and before[1][0] and (before[2] or row[0] == before[0] + 1 and not row[1].strip(">| "))
+        if not joins and (before is None or row[0] != before[0] + 1 or shape != before[1]):
             out.append([])
         out[-1].append(row)
-        before = (row[0], form)
+        before = (row[0], shape, row[7])
     return out
 
 
+def _told(block: list[tuple]) -> int:
+    """How many of a block's lines an ancestor could hold."""
+    return max(1, sum(not r[7] and bool(r[1].strip(">| ")) for r in block))
+
+
 def features_of(parsed: list[tuple]) -> tuple[list[list[tuple]], np.ndarray]:
-    """The blocks of a mail and their features, without the sender frequency (0)."""
+    """The blocks of a mail and their features of FORM; those of CORPUS are 0."""
     blocks = blocks_of(parsed)
     x = np.zeros((len(blocks), len(FEATURES)), np.float32)
     total = max(1, len(blocks))
     for k, block in enumerate(blocks):
         n = len(block)
-        kinds = [kind(r[1]) for r in block]
-        x[k] = (
-            n, sum(len(r[1]) for r in block) / n, kinds.count("contact") / n, sum(bool(_NAME.match(r[1])) for r in block) / n,
-            max(r[4] for r in block), sum(r[5] for r in block) / n, sum(r[2] for r in block) / n, 0,
-            sum(w in ("closing", "delimiter", "signed") for w in kinds) / n, kinds.count("legal") / n, kinds.count("greeting") / n,
-            sum(r[3] for r in block) / n, k / total, sum(bool(_SENTENCE.search(r[1])) for r in block) / n, sum(bool(_LISTED.match(r[1])) for r in block) / n, block[0][1][:1] in (">", "|"),
+        told = _told(block)
+        forms = [form(r[1]) for r in block]
+        kinds = [f[0] for f in forms]
+        x[k, : len(FORM)] = (
+            n, sum(len(r[1]) for r in block) / n, (kinds.count("contact") or sum(bool(_PHONE.search(r[1])) for r in block)) / n, sum(f[1] for f in forms) / n,
+            block[-1][4], sum(r[6] for r in block) / told, sum(r[5] for r in block) / told, block[0][2], sum(r[7] for r in block) / n, (kinds.count("closing") + kinds.count("signed")) / n, kinds.count("legal") / n, kinds.count("greeting") / n,
+            block[0][3], k / total, sum(f[2] for f in forms) / n, sum(f[3] for f in forms) / n, block[-1][1][:1] in (">", "|"), kinds.count("delimiter") / n, k == 0,
         )
     return blocks, x
 
 
-def _sure(block: list[tuple]) -> int:
-    """What is evident of a block: 1 new, 0 not new, -1 not evident."""
-    kinds = {kind(r[1]) for r in block}
-    if all(r[2] for r in block) or kinds <= {"legal", "closing", "signed", "contact", "delimiter"}:
-        return 0
-    if all(r[3] for r in block):
-        return 0
-    if not any(r[2] or r[3] for r in block) and kinds <= {"text", "greeting"}:
-        return 1
-    return -1
-
-
-_COLUMNS = [("graph_id", "string"), ("body_hash", "long"), ("line_no", "array<int>"), ("block", "array<int>"), ("slot", "array<int>"), ("checked", "array<boolean>"), ("features", "array<float>"), ("sure", "array<int>")]
-_KINDS = {"string": pa.string(), "long": pa.int64(), "array<int>": pa.list_(pa.int32()), "array<float>": pa.list_(pa.float32()), "array<boolean>": pa.list_(pa.bool_())}
+_COLUMNS = [("graph_id", "string"), ("sender", "long"), ("blind", "boolean"), ("sampled", "boolean"), ("known", "boolean"), ("numbers", "array<int>"), ("size", "array<int>"), ("hashed", "array<int>"), ("lines", "array<long>"), ("features", "array<float>"), ("truth", "array<float>"), ("loose", "array<float>")]
+_KINDS = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32())}
 _SCHEMA = pa.schema([(n, _KINDS[k]) for n, k in _COLUMNS])
-_MASK = (1 << FREQUENCY_BITS) - 1
 
 
 def segmented(mails: DataFrame) -> DataFrame:
-    """One row per mail (graph_id, body, sender, name, parent): for each line that isn't
-    quoted its number, block, frequency slot and line check; for each block its features
-    and whether its label is evident."""
+    """One row per mail (graph_id, body, sender, name, parent, opens, sampled): of each block
+    its lines' numbers, how many they are and how many of these are hashed (all, of quoted
+    blocks none), its features and the share of its lines that the ancestor holds in a row
+    (truth) or at all (loose); ``lines`` are the hashes. A sampled mail has a second, blind row: parsed without its
+    ancestor, which only truth has seen."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, batch.schema.get_field_index("body")):
-                columns: dict[str, list] = {n: [] for n, _ in _COLUMNS}
-                for graph_id, body, sender, name, parent in zip(*(part.column(c).to_pylist() for c in ("graph_id", "body", "sender", "name", "parent"))):
-                    blocks, x = features_of(parse(body, parent, sender, name))
-                    mine = xxhash.xxh64_intdigest((sender or "").lower())
-                    lines = [(r, k) for k, b in enumerate(blocks) for r in b if not r[2]]
-                    row = (
-                        graph_id, hashed(body), [r[0] for r, _ in lines], [k for _, k in lines],
-                        [((hashed(r[1]) ^ mine) * 0x9E3779B97F4A7C15 >> 20) & _MASK for r, _ in lines],
-                        [not r[3] and kind(r[1]) not in ("legal", "closing") for r, _ in lines], x.ravel(), [_sure(b) for b in blocks],
-                    )
-                    for (n, _), value in zip(_COLUMNS, row):
-                        columns[n].append(value)
-                yield pa.RecordBatch.from_arrays([pa.array(columns[n], _KINDS[k]) for n, k in _COLUMNS], schema=_SCHEMA)
-
-    return mails.select("graph_id", "body", "sender", "name", "parent").mapInArrow(run, ", ".join(f"{n} {k}" for n, k in _COLUMNS))
-
-
-def sender_frequency(blocks: DataFrame) -> np.ndarray:
-    """In how many mails of its sender an unquoted line occurs, by slot, capped at 255: a
-    table of fixed size, summed over all mails."""
-    size = _MASK + 1
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.uint32)
-        for b in batches:
-            total += np.bincount(b.column("slot").flatten().to_numpy(), minlength=size).astype(np.uint32)
-        slots = np.flatnonzero(total)
-        for k in range(0, len(slots), 100_000):
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array(slots[k : k + 100_000] >> 14, pa.int32()), "slot": pa.array(slots[k : k + 100_000] & 16_383, pa.int32()), "n": pa.array(total[slots[k : k + 100_000]], pa.int64())})
-
-    sums = blocks.select("slot").mapInArrow(count, "chunk int, slot int, n long").groupBy("chunk", "slot").agg(F.least(F.sum("n"), F.lit(255)).alias("n"))
-    # at most 64 rows come back, each of at most 16,384 counts
-    packed = sums.groupBy("chunk").agg(F.collect_list("slot").alias("slots"), F.collect_list("n").alias("n"))
-    out = np.zeros(size, np.uint8)
-    for row in packed.collect():
-        out[(row["chunk"] << 14) + np.array(row["slots"])] = row["n"]
-    return out
-
-
-def _with_frequency(features: np.ndarray, counts: np.ndarray, lines: np.ndarray, block: np.ndarray) -> np.ndarray:
-    """Features with the mean log frequency of each block's unquoted lines."""
-    total = np.bincount(block, minlength=len(features))
-    features[:, FEATURES.index("frequency")] = np.bincount(block, np.log1p(counts[lines]), len(features)) / np.maximum(total, 1)
-    return features
-
-
-def fitted(blocks: DataFrame, counts: np.ndarray, most: int = SAMPLE_MAILS) -> Boosted:
-    """The classifier, fitted on the evident blocks of at most ``most`` mails, those of
-    least hash, so that it is the same in every run."""
-    sample = blocks.where(F.size("sure") > 0).orderBy(F.xxhash64("graph_id", "body_hash")).limit(most).select("features", "sure", "slot", "block").toArrow()
-    xs, ys = [np.zeros((0, len(FEATURES)), np.float32)], [np.zeros(0, np.int64)]
-    for f, s, slot, block in zip(*(sample.column(c) for c in ("features", "sure", "slot", "block"))):
-        x = _with_frequency(f.values.to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES)).copy(), counts, slot.values.to_numpy(), block.values.to_numpy())
-        xs.append(x)
-        ys.append(s.values.to_numpy())
-    x, y = np.concatenate(xs), np.concatenate(ys)
-    return Boosted().fit(x[y >= 0], (y[y >= 0] == 1).astype(float)) if (y >= 0).any() else Boosted()
-
-
-def new_lines(mails: DataFrame, sample: int = SAMPLE_MAILS) -> DataFrame:
+                rows = []
+                for graph_id, body, sender, name, parent, opens, sampled in zip(*(part.column(c).to_pylist() for c in ("graph_id", "body", "sender", "name", "parent", "opens", "sampled"))):
+                    who = hashed(sender or "")
+                    parsed = parse(body, parent, sender, name)
+                    held, run = ({r[0] for r in parsed if r[i]} for i in (5, 6))
+                    for blind in (False, True)[: 1 + sampled]:
+                        blocks, x = features_of(parse(body, None, sender, name) if blind else parsed)
+                        rows.append((
+                            graph_id, who, blind, sampled, opens or parent is not None, [r[0] for b in blocks for r in b], [len(b) for b in blocks], [0 if b[0][2] else len(b) for b in blocks],
+                            [hashed(r[1]) for b in blocks if not b[0][2] for r in b], x.ravel(), *([sum(r[0] in lines for r in b) / _told(b) for b in blocks] if sampled else None for lines in (run, held)),
+                        ))
+                yield pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, (_, k) in zip(zip(*rows), _COLUMNS)] if rows else [pa.array([], _KINDS[k]) for _, k in _COLUMNS], schema=_SCHEMA)
+
+    return mails.select("graph_id", "body", "sender", "name", "parent", "opens", "sampled").mapInArrow(run, ", ".join(f"{n} {k}" for n, k in _COLUMNS))
+
+
+def line_statistics(blocks: DataFrame, senders: DataFrame, mails: int) -> tuple[DataFrame, np.ndarray, np.ndarray]:
+    """(sender, own): for each sender the lines that many of the sender's mails hold, with the
+    share of them that do and whether hardly anyone else has the line; then the hashes of the lines
+    that are common in the whole corpus, ascending, and the logs of how many senders use them.
+
+    Counts are exact, over all mails, combined before each shuffle. A sender's lines are
+    those of OWN_SHARE / 4 of the mails or more, a bounded number; the common lines, which
+    come to the driver, are at most mean lines / COMMON_SHARE.
+    """
+    used = blocks.where("not blind").select("sender", F.explode(F.array_distinct("lines")).alias("line")).groupBy("sender", "line").agg(F.count("*").alias("n"))
+    total = used.groupBy("line").agg(F.sum("n").alias("n_all"), F.count("*").alias("senders"))
+    often = used.where(F.col("n") >= OWN_MAILS).join(senders, "sender").withColumn("share", F.col("n") / F.col("mails")).where(F.col("share") >= OWN_SHARE / 4)
+    often = often.join(total.where(F.col("n_all") >= OWN_MAILS), "line").withColumn("alone", F.col("n") >= F.col("n_all") * OWN_PART)
+    own = often.groupBy("sender").agg(F.collect_list(F.struct("line", F.col("share").cast("float").alias("share"), "alone")).alias("own"))
+    common = total.where((F.col("n_all") >= max(OWN_MAILS, mails * COMMON_SHARE)) & (F.col("senders") > 1)).select("line", "senders").toArrow()
+    lines, senders_of = common.column("line").to_numpy(), common.column("senders").to_numpy()
+    order = np.argsort(lines)
+    return own, lines[order], np.log2(senders_of[order]).astype(np.float32)
+
+
+def _looked_up(keys: np.ndarray, sorted_keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The value of each key, 0 where it isn't there."""
+    if not len(sorted_keys):
+        return np.zeros(len(keys), np.float32)
+    at = np.minimum(np.searchsorted(sorted_keys, keys), len(sorted_keys) - 1)
+    return np.where(sorted_keys[at] == keys, values[at], np.float32(0))
+
+
+class _Blocks:
+    """The blocks of a batch of mails as flat arrays, with the features of CORPUS filled in."""
+
+    def __init__(self, b: pa.RecordBatch, common: np.ndarray, senders: np.ndarray):
+        flat = lambda c: b.column(c).flatten()
+        many = lambda c: pa.compute.fill_null(pa.compute.list_value_length(b.column(c)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        per_mail = many("size")
+        self.mail = np.repeat(np.arange(len(per_mail)), per_mail)
+        self.numbers, self.size, hashed_ = (flat(c).to_numpy(zero_copy_only=False) for c in ("numbers", "size", "hashed"))
+        self.x = flat("features").to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES)).copy()
+        self.lines, self.block = flat("lines").to_numpy(zero_copy_only=False), np.repeat(np.arange(len(self.mail)), hashed_)
+        # the sender's lines, keyed by sender and line
+        who = b.column("sender").to_numpy()
+        mine = flat("own")
+        own_who = np.repeat(who, many("own"))
+        own_line, share, one = (mine.field(c).to_numpy(zero_copy_only=False) for c in ("line", "share", "alone"))
+        key, at = np.unique(_keyed(own_who, own_line), return_index=True)
+        keys = _keyed(who[self.mail[self.block]], self.lines) if len(self.block) else np.zeros(0, np.int64)
+        self.is_own = _looked_up(keys, key, np.where(one & (share >= OWN_SHARE), np.float32(1), np.float32(0))[at])
+        n = np.maximum(1, hashed_)
+        mean = lambda v: np.bincount(self.block, v, len(self.mail)) / n
+        own, habit, spread, begun = (FEATURES.index(c) for c in CORPUS)
+        if len(self.mail):
+            self.x[:, own] = mean(_looked_up(keys, key, np.where(one, share, np.float32(0))[at]))
+            self.x[:, habit] = mean(_looked_up(keys, key, np.where(one, np.float32(0), share)[at]))
+            self.spread = _looked_up(self.lines, common, senders)
+            self.x[:, spread] = mean(self.spread)
+            # a mail that begins with its sender's own lines is a template: they tell nothing there
+            template = np.zeros(len(per_mail), bool)
+            begins = np.flatnonzero(np.diff(self.mail[self.block], prepend=-1) > 0)
+            template[self.mail[self.block[begins]]] = self.is_own[begins] > 0
+            self.is_own = np.where(template[self.mail[self.block]], np.float32(0), self.is_own)
+            self.x[:, own] *= ~template[self.mail]
+            self.x[:, habit] *= ~template[self.mail]
+            self.anchor = np.bincount(self.block, self.is_own, len(self.mail)) > 0
+            self.signed = np.bincount(self.mail, self.anchor, len(per_mail)) > 0
+            self.signs = (np.bincount(np.repeat(np.arange(len(per_mail)), many("own")), one & (share >= OWN_SHARE), len(per_mail)) > 0) & ~template
+            so_far = np.cumsum(self.anchor) - self.anchor
+            begin = np.cumsum(per_mail) - per_mail
+            self.x[:, begun] = so_far > so_far[np.minimum(begin[self.mail], len(so_far) - 1)]
+        else:
+            self.anchor = np.zeros(0, bool)
+
+
+def _keyed(who: np.ndarray, line: np.ndarray) -> np.ndarray:
+    return line ^ (who * np.int64(-7046029254386353131))
+
+
+def labels_of(b: _Blocks, known: np.ndarray, truth: np.ndarray, loose: np.ndarray, late: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """1 new, 0 not new, -1 unknown, of the blocks of mails. Known are mails whose ancestor is
+    (or that answer none); truth and loose are the shares of a block's lines that the ancestor
+    holds in a row, or at all; late as _late() gives it."""
+    if not len(b.mail):
+        return np.zeros(0, np.int64)
+    first, end = np.searchsorted(b.mail, b.mail), np.searchsorted(b.mail, b.mail, "right")
+    begun = b.x[:, FEATURES.index("begun")] > 0
+    met = np.append(0, np.cumsum(loose > 0))
+    here = np.arange(len(b.mail))
+    apart = (met[here] == met[first]) | (met[end] == met[here + 1])  # not inside the ancestor's text
+    hashed_ = np.bincount(b.block, minlength=len(b.mail))
+    share = _looked_up(b.lines, late[0], 1 + late[1])  # 0: not seen in signed mails
+    all_ = lambda which: (hashed_ > 0) & (np.bincount(b.block, which, len(b.mail)) == hashed_)
+    # mails without the signature that their sender has; of common lines only those that begin mails
+    early = b.signs[b.mail] & all_(np.where(share > 0, share < 1.2, b.spread == 0))
+    label = np.full(len(b.mail), -1)
+    label[(b.signed[b.mail] | early) & ~begun & apart & known[b.mail] & (loose == 0)] = 1
+    label[all_(share > 1.5)] = 0
+    label[b.anchor | begun | (truth >= 0.5)] = 0
+    return label
+
+
+def _late(b: _Blocks) -> tuple[np.ndarray, np.ndarray]:
+    """The lines that three or more signed mails hold, and in what share of them they stand right
+    before the signature or after it."""
+    if not len(b.lines):
+        return np.zeros(0, np.int64), np.zeros(0, np.float32)
+    mail = b.mail[b.block]
+    after = np.append((b.is_own[1:] > 0) & (mail[1:] == mail[:-1]), False) | (b.x[b.block, FEATURES.index("begun")] > 0)
+    counts = np.flatnonzero((b.is_own == 0) & b.signed[mail])
+    lines, of, n = np.unique(b.lines[counts], return_inverse=True, return_counts=True)
+    share = np.bincount(of, after[counts], len(lines)) / np.maximum(n, 1)
+    return lines[n >= 3], share[n >= 3].astype(np.float32)
+
+
+def fitted(sample: pa.Table, common: np.ndarray, senders: np.ndarray) -> Boosted:
+    """The classifier, fitted on the labelled blocks of a sample of mails. A sample without
+    labels leaves PRIOR."""
+    known = [(f | {"place": p, "lines": n, "first": p == 0}, label) for f, label in PRIOR for p in PLACES for n in (1, 3)]
+    xs = [np.array([[f.get(name, 0) for name in FEATURES] for f, _ in known], np.float32)]
+    ys = [np.array([label for _, label in known])]
+    late = None
+    for blind in (False, True):
+        for part in sample.filter(pa.compute.equal(sample.column("blind"), blind)).combine_chunks().to_batches():
+            b = _Blocks(part, common, senders)
+            late = late or _late(b)
+            y = labels_of(b, part.column("known").to_numpy(zero_copy_only=False), *(part.column(c).flatten().to_numpy() for c in ("truth", "loose")), late)
+            bare = b.x.copy()
+            bare[:, len(FORM) :] = 0
+            for x in (b.x, bare):
+                xs.append(x[y >= 0])
+                ys.append(y[y >= 0])
+    return Boosted(rounds=60).fit(np.concatenate(xs), np.concatenate(ys).astype(float))
+
+
+def new_lines(mails: DataFrame, sample: int = SAMPLE_MAILS, classifier: Boosted | None = None) -> DataFrame:
     """(graph_id, line_no) of the lines that the senders of mails newly wrote.
 
     ``mails`` has graph_id, internet_message_id, in_reply_to, body_plain, from_email and
     from_name. A null or empty body has no line; nulls elsewhere only take evidence away:
-    a mail whose ancestor is unknown is judged by form alone. Mails delivered twice with
-    the same body count once, with other bodies give the lines of both. Blank lines are in
-    no block. An empty table gives an empty result.
+    a mail whose ancestor is unknown is judged by form and frequency alone. Mails delivered
+    twice give their lines once, with other bodies the lines of both. Blank lines are in
+    no block. An empty table gives an empty result; one without evidence is judged by the
+    trees' prior. ``sample`` mails, those of least hash, so the same in every run, are learnt
+    from, unless a ``classifier`` is given.
     """
     rows = mails.where("graph_id is not null and body_plain is not null").select("graph_id", "internet_message_id", "in_reply_to", F.col("body_plain").alias("body"), F.lower("from_email").alias("sender"), F.col("from_name").alias("name"))
     kind_of = "array<long>"
@@ -311,37 +438,40 @@ def new_lines(mails: DataFrame, sample: int = SAMPLE_MAILS) -> DataFrame:
             for part in chunks(batch, 1):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([line_hashes(x) for x in part.column(1).to_pylist()], pa.list_(pa.int64()))], ["id", "parent"])
 
-    # only mails that are answered are ancestors; one body for each id
-    answered = rows.where("in_reply_to is not null").select(F.col("in_reply_to").alias("internet_message_id")).distinct()
-    ancestors = rows.where("internet_message_id is not null").select("internet_message_id", "body").join(answered, "internet_message_id", "left_semi")
-    ancestors = ancestors.mapInArrow(hashes, f"id string, parent {kind_of}").groupBy("id").agg(F.max("parent").alias("parent"))
-    replies = rows.where("in_reply_to is not null").join(ancestors, F.col("in_reply_to") == F.col("id"), "left")
-    opening = rows.where("in_reply_to is null").withColumn("parent", F.lit(None).cast(kind_of))
-    columns = ["graph_id", "body", "sender", "name", "parent"]
-    blocks = cut(segmented(opening.select(columns).unionByName(replies.select(columns))).dropDuplicates(["graph_id", "body_hash"]))
-    counts = sender_frequency(blocks)
-    context = mails.sparkSession.sparkContext
-    shipped = context.broadcast((counts, fitted(blocks, counts, sample)))
+    # only mails that are answered are ancestors; one body for each id; only hashes travel
+    answered = rows.where("in_reply_to is not null").select(F.col("in_reply_to").alias("id")).distinct()
+    ancestors = rows.where("internet_message_id is not null").select("internet_message_id", "body").mapInArrow(hashes, f"id string, parent {kind_of}")
+    ancestors = ancestors.join(answered, "id", "left_semi").groupBy("id").agg(F.max("parent").alias("parent"))
+    replies = rows.where("in_reply_to is not null").join(ancestors, F.col("in_reply_to") == F.col("id"), "left").withColumn("opens", F.lit(False))
+    opening = rows.where("in_reply_to is null").withColumn("parent", F.lit(None).cast(kind_of)).withColumn("opens", F.lit(True))
+    columns = ["graph_id", "body", "sender", "name", "parent", "opens"]
+    # the hash up to which mails are in the sample: of at most ``sample`` of them
+    place = F.xxhash64("graph_id")
+    last = max((r[0] for r in rows.select(place.alias("h")).orderBy("h").limit(sample).collect()), default=None) if classifier is None else None
+    both = opening.select(columns).unionByName(replies.select(columns)).withColumn("sampled", F.lit(False) if last is None else place <= F.lit(last))
+    blocks = cut(segmented(both))
+    per_sender = blocks.where("not blind").groupBy("sender").agg(F.count("*").alias("mails")).where(F.col("mails") >= OWN_MAILS)
+    own, common, senders = line_statistics(blocks, per_sender, blocks.where("not blind").count())
+    joined = blocks.join(own, "sender", "left")
+    if classifier is None:
+        learnt = joined.where("sampled").select("blind", "known", "sender", "own", "numbers", "size", "hashed", "lines", "features", "truth", "loose").limit(4 * sample).toArrow()
+        classifier = fitted(learnt, common, senders)
+    shipped = mails.sparkSession.sparkContext.broadcast((common, senders, classifier))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, model = shipped.value
-        for b in batches:
-            features = b.column("features").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(FEATURES)).copy()
-            if not len(features) or not model.edges:
+        common, senders, model = shipped.value
+        for batch in batches:
+            b = _Blocks(batch, common, senders)
+            if not len(b.x):
                 continue
-            per_mail = np.diff(b.column("sure").offsets.to_numpy())
-            begin = np.cumsum(per_mail) - per_mail
-            lines = np.diff(b.column("block").offsets.to_numpy())
-            block = b.column("block").flatten().to_numpy() + np.repeat(begin, lines)
-            x = _with_frequency(features, counts, b.column("slot").flatten().to_numpy(), block)
-            new = model.predict(x) >= 0.5
-            keep = new[block] & b.column("checked").flatten().to_numpy(zero_copy_only=False)
-            mail = np.repeat(np.arange(len(lines)), lines)[keep]
-            yield pa.RecordBatch.from_arrays([b.column("graph_id").take(pa.array(mail)), b.column("line_no").flatten().cast(pa.int64()).filter(pa.array(keep))], ["graph_id", "line_no"])
+            keep = np.flatnonzero(model.predict(b.x) >= 0.5)
+            lines = b.numbers[ragged((np.cumsum(b.size) - b.size)[keep].astype(np.int64), b.size[keep].astype(np.int64))]
+            mail = np.repeat(b.mail[keep], b.size[keep])
+            yield pa.RecordBatch.from_arrays([batch.column("graph_id").take(pa.array(mail)), pa.array(lines, pa.int64())], ["graph_id", "line_no"])
 
-    return blocks.select("graph_id", "block", "slot", "checked", "line_no", "features", "sure").mapInArrow(judge, "graph_id string, line_no long")
+    return joined.where("not blind").select("graph_id", "sender", "own", "numbers", "size", "hashed", "lines", "features").mapInArrow(judge, "graph_id string, line_no long").distinct()
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
     """graph_id, line_no of every newly written line."""
-    return new_lines(table(spark, folder, "outlook_messages")).distinct()
+    return new_lines(table(spark, folder, "outlook_messages"))
