@@ -82,7 +82,7 @@ def test_no_introduction(line):
 def varied(k):
     """The opening mail with other text and the same signature."""
     head, tail = OPENING.split("\n\nKind")
-    return head.replace("Data Engineer", f"Role {k}").replace("9 years", f"{k} years").replace("the rate", f"rate {k}").replace("2 seats", f"{k} seats") + "\n\nKind" + tail
+    return head.replace("Hi Team", f"Hi {k}").replace("Data Engineer", f"Role {k}").replace("9 years", f"{k} years").replace("the rate", f"rate {k}").replace("2 seats", f"{k} seats") + "\n\nKind" + tail
 
 
 def mails(spark, rows):
