@@ -84,17 +84,18 @@ def kind(line: str) -> str:
     s = line.strip()
     if not s:
         return "blank"
-    if _CLOSING.match(s):
+    if len(s) < 60 and _CLOSING.match(s):
         return "closing"
-    if _DELIMITER.match(s):
+    marked = s[0] in "-—_=*~"
+    if marked and _DELIMITER.match(s):
         return "delimiter"
     if _LEGAL.match(s) or len({x.lower() for x in _LAW.findall(s)}) > 1:
         return "legal"
-    if _SIGNED.match(s):
+    if marked and _SIGNED.match(s):
         return "signed"
-    if _PHONE.search(s) and len(s) < 90 or _SITE.match(s):
+    if len(s) < 90 and _PHONE.search(s) or _SITE.match(s):
         return "contact"
-    if _GREETING.match(s):
+    if len(s) < 80 and _GREETING.match(s):
         return "greeting"
     return "text"
 
@@ -102,15 +103,15 @@ def kind(line: str) -> str:
 def intro_at(lines: list[str], i: int) -> int:
     """If lines i.. introduce quoted text, the line after the introduction, else i."""
     s = lines[i].strip()
-    if not s:
-        return i
-    if _INTRO.match(s):
+    if not s or s[-1] not in ":,-_" and not _FROM.match(s):
+        return i  # no introduction ends so, but one that begins with the writer
+    if s[-1] == ":" and _INTRO.match(s):
         return i + 1
-    if _INTRO_BEGINS.match(s) and i + 1 < len(lines) and _INTRO_ENDS.match(lines[i + 1].strip()):
+    if i + 1 < len(lines) and _INTRO_BEGINS.match(s) and _INTRO_ENDS.match(lines[i + 1].strip()):
         return i + 2
     j = i
     ruled = False
-    if _RULE.match(s) or re.match(r"^_{20,}$", s):
+    if _RULE.match(s) or len(s) >= 20 and not s.strip("_"):
         ruled = True
         j = i + 1
         while j < len(lines) and not lines[j].strip():

@@ -64,6 +64,7 @@ _SENTENCE = re.compile(r"[.?!]$|\b(?:the|and|with|for|is|are|of|to|we|please|kin
 _LISTED = re.compile(r"^(?:[-*•|]|\d{1,3}[.)]) ?|^[^:]{2,30}(?: ?: | - )")
 
 
+@lru_cache(maxsize=200_000)
 def hashed(line: str) -> int:
     return xxhash.xxh64_intdigest(" ".join(line.split())) - (1 << 63)
 
@@ -168,8 +169,8 @@ def _overlapping(rows: list[tuple], parent: list[int]) -> list[tuple]:
     for k, h in enumerate(parent):
         where.setdefault(h, set()).add(k)
     none: set[int] = set()
-    at = [where.get(hashed(one_less(r[1])), none) | where.get(hashed(r[1]), none) for r in rows]
-    filled = [k for k, r in enumerate(rows) if r[1].strip(">| ")]  # marks alone are no neighbours
+    at = [where.get(hashed(one_less(r[1])), none) | where.get(hashed(r[1]), none) if r[1][0] in ">|" else where.get(hashed(r[1]), none) for r in rows]
+    filled = [k for k, r in enumerate(rows) if form(r[1])[5]]  # marks alone are no neighbours
     run = [False] * len(rows)
     for i, j in zip(filled, filled[1:]):
         if at[i] and at[j] and any(x + 1 in at[j] for x in at[i]):
@@ -212,50 +213,68 @@ def _quote_begins(lines: list[str], parent: list[int] | None) -> tuple[int | Non
 
 
 @lru_cache(maxsize=200_000)
-def form(line: str) -> tuple[str, bool, bool, bool]:
-    """What a line is by itself: its kind, whether it looks like a name, a sentence, an item."""
-    return kind(line), bool(_NAME.match(line)), bool(_SENTENCE.search(line)), bool(_LISTED.match(line))
+def form(line: str) -> tuple[str, bool, bool, bool, bool, bool]:
+    """What a line is by itself: its kind, whether it looks like a name, a sentence, an item, has
+    a phone number, and holds more than quote marks."""
+    return kind(line), bool(_NAME.match(line)), bool(_SENTENCE.search(line)), bool(_LISTED.match(line)), bool(_PHONE.search(line)), bool(line.strip(">| "))
 
 
 def blocks_of(parsed: list[tuple]) -> list[list[tuple]]:
     """Lines in blocks: paragraphs, cut where quoting, the end or the lines' form changes. An
     introduction and the quoted paragraph after it are one block."""
-    out: list[list[tuple]] = []
-    before = None
-    for row in parsed:
-        what = form(row[1])[0]
-        shape = (row[2], row[3], row[4], "text" if what in ("text", "greeting") or row[2] else what)
-        joins = before is not None and row[2] and before[1][0] and (before[2] or row[0] == before[0] + 1 and not row[1].strip(">| "))
-        if not joins and (before is None or row[0] != before[0] + 1 or shape != before[1]):
-            out.append([])
-        out[-1].append(row)
-        before = (row[0], shape, row[7])
-    return out
-
-
-def _told(block: list[tuple]) -> int:
-    """How many of a block's lines an ancestor could hold."""
-    return max(1, sum(not r[7] and bool(r[1].strip(">| ")) for r in block))
+    return features_of(parsed)[0]
 
 
 def features_of(parsed: list[tuple]) -> tuple[list[list[tuple]], np.ndarray]:
-    """The blocks of a mail and their features of FORM; those of CORPUS are 0."""
-    blocks = blocks_of(parsed)
+    """The blocks of a mail, see blocks_of(), and their features of FORM; those of CORPUS are 0."""
+    blocks: list[list[tuple]] = []
+    sums: list[list] = []
+    before_no, before_old, before_intro, before_shape = -1, False, False, None
+    for row in parsed:
+        no, text, old, ended, depth, held, run, intro = row
+        what, name, sentence, listed, phone, filled = form(text)
+        shape = (old, ended, depth, "text" if old or what == "greeting" else what)
+        adjacent = no == before_no + 1
+        joins = old and before_old and (before_intro or adjacent and not filled)
+        if not joins and (not adjacent or shape != before_shape):
+            blocks.append([])
+            # lines, characters, contact, names, run, held, told, intro, closing, legal, greeting, sentence, listed, delimiter
+            sums.append([0] * 14)
+        blocks[-1].append(row)
+        t = sums[-1]
+        t[0] += 1
+        t[1] += len(text)
+        t[2] += phone or what == "contact"
+        t[3] += name
+        t[4] += run
+        t[5] += held
+        t[6] += filled and not intro
+        t[7] += intro
+        t[8] += what == "closing" or what == "signed"
+        t[9] += what == "legal"
+        t[10] += what == "greeting"
+        t[11] += sentence
+        t[12] += listed
+        t[13] += what == "delimiter"
+        before_no, before_old, before_intro, before_shape = no, old, intro, shape
     x = np.zeros((len(blocks), len(FEATURES)), np.float32)
-    total = max(1, len(blocks))
-    for k, block in enumerate(blocks):
-        n = len(block)
-        told = _told(block)
-        forms = [form(r[1]) for r in block]
-        kinds = [f[0] for f in forms]
-        x[k, : len(FORM)] = (
-            n, sum(len(r[1]) for r in block) / n, (kinds.count("contact") or sum(bool(_PHONE.search(r[1])) for r in block)) / n, sum(f[1] for f in forms) / n,
-            block[-1][4], sum(r[6] for r in block) / told, sum(r[5] for r in block) / told, block[0][2], sum(r[7] for r in block) / n, (kinds.count("closing") + kinds.count("signed")) / n, kinds.count("legal") / n, kinds.count("greeting") / n,
-            block[0][3], k / total, sum(f[2] for f in forms) / n, sum(f[3] for f in forms) / n, block[-1][1][:1] in (">", "|"), kinds.count("delimiter") / n, k == 0,
-        )
+    if blocks:
+        t = np.array(sums, np.float32)
+        n, told = t[:, 0], np.maximum(t[:, 6], 1)
+        last = [b[-1] for b in blocks]
+        place = np.arange(len(blocks)) / len(blocks)
+        x[:, : len(FORM)] = np.stack([
+            n, t[:, 1] / n, t[:, 2] / n, t[:, 3] / n, [r[4] for r in last], t[:, 4] / told, t[:, 5] / told, [b[0][2] for b in blocks], t[:, 7] / n, t[:, 8] / n, t[:, 9] / n, t[:, 10] / n,
+            [b[0][3] for b in blocks], place, t[:, 11] / n, t[:, 12] / n, [r[1][0] in ">|" for r in last], t[:, 13] / n, place == 0,
+        ], 1)
     return blocks, x
 
 
+def _told(block: list[tuple]) -> int:
+    """How many of a block's lines an ancestor could hold."""
+    return max(1, sum(not r[7] and form(r[1])[5] for r in block))
+
+
 _COLUMNS = [("graph_id", "string"), ("sender", "long"), ("blind", "boolean"), ("sampled", "boolean"), ("known", "boolean"), ("numbers", "array<int>"), ("size", "array<int>"), ("hashed", "array<int>"), ("lines", "array<long>"), ("features", "array<float>"), ("truth", "array<float>"), ("loose", "array<float>")]
 _KINDS = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32())}
 _SCHEMA = pa.schema([(n, _KINDS[k]) for n, k in _COLUMNS])
