@@ -58,11 +58,6 @@ _COMPARES = re.compile(r"^>=? ?\d+(?:[.,]\d+)? ?(?:%|\+|yrs?\b|years?\b|lpa\b|k\
 _MARK = re.compile(r"^(?:>|\|) ?")
 
 
-def lines_of(body: str) -> list[str]:
-    """The lines at line feeds, without the other line ends."""
-    return [x.strip("\r") for x in body.split("\n")]
-
-
 def plain(line: str) -> str:
     """A line's text without quote marks before it, for comparison across mails."""
     while m := _MARK.match(line.strip()):

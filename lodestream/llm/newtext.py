@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from lodestream.llm.bpe import ragged
 from lodestream.llm.gbt import Boosted
-from lodestream.llm.mailtext import _COMPARES, _PHONE, intro_at, kind, lines_of, one_less
+from lodestream.llm.mailtext import _COMPARES, _PHONE, intro_at, kind, one_less
 from lodestream.llm.tokens import chunks
 from lodestream.session import cut
 from lodestream.sources.tables import table
@@ -92,7 +92,7 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
     closing or name. depth: quote marks before the text. overlap: the ancestor has the line;
     run: and next to it the line that is next to it here. intro: it introduces a quote.
     """
-    lines = lines_of(body)
+    lines = [x.strip() for x in body.split("\n")]
     n = len(lines)
     old = [False] * n
     begin, style = _quote_begins(lines, parent)
@@ -100,19 +100,17 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
     known = begin is not None
     held = set(parent or ())
     if begin is None:
-        first = None
         for i in range(n):
             j = intro_at(lines, i)
             if j > i:
-                first, begin = i, j
+                begin = j
+                intro.update(range(i, j))
+                q = next((k for k in range(j, n) if lines[k]), n)
+                style = lines[q][0] if q < n and lines[q][0] in ">|" else ""
                 break
-        if begin is not None:
-            q = next((k for k in range(begin, n) if lines[k].strip()), n)
-            style = lines[q].lstrip()[:1] if q < n and lines[q].lstrip()[:1] in (">", "|") else ""
-            intro.update(range(first, begin))
     else:
         k = begin - 1
-        while k >= 0 and not lines[k].strip():
+        while k >= 0 and not lines[k]:
             k -= 1
         for i in range(max(0, k - 8), k + 1):  # the introduction right before the quote
             if intro_at(lines, i) > k:
@@ -120,12 +118,12 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
                 break
     for k in intro:
         old[k] = True
-    if begin is not None:
+    if begin is not None and not style:
+        old[begin:] = [True] * (n - begin)
+    elif begin is not None:
         for k in range(begin, n):
-            s = lines[k].lstrip()
-            if not style:
-                old[k] = True
-            elif s[:1] == style:
+            s = lines[k]
+            if s and s[0] == style:
                 # comparisons, rows of tables and bullets may begin like quotes: the ancestor
                 # tells; without it, their form
                 if not s.strip(">| "):
@@ -133,49 +131,60 @@ def parse(body: str, parent: list[int] | None, sender: str | None, name: str | N
                 elif known:
                     old[k] = hashed(one_less(s)) in held
                 else:
-                    old[k] = not (s[-1:] == "|" and s[1:].lstrip()[:1] != "|" if style == "|" else _COMPARES.match(s))
+                    old[k] = not (s[-1] == "|" and s[1:].lstrip()[:1] != "|" if style == "|" else _COMPARES.match(s))
     words = {w.lower() for w in (name or "").split()}
     local = (sender or "").split("@")[0].lower()
     out = []
     ended = False
     seen = 0
-    for k, line in enumerate(lines):
-        s = line.strip()
+    for k, s in enumerate(lines):
         if not s:
             continue
         if not old[k] and not ended:
-            what = kind(s)
-            if what == "closing" or _is_name(s, words, local) and seen:
+            what = form(s)[0]
+            if what == "closing" or seen and form(s)[1] and _is_name(s, words, local):
                 ended = True
             elif what in ("delimiter", "signed"):
-                after = next((x for x in range(k + 1, min(n, k + 4)) if lines[x].strip()), None)
+                after = next((x for x in range(k + 1, min(n, k + 4)) if lines[x]), None)
                 ended = what == "signed" and (seen > 0) or after is not None and not old[after] and (_is_name(lines[after], words, local) or kind(lines[after]) in ("legal", "contact"))
             elif what == "legal" and seen:
                 ended = True
             if what != "legal":
                 seen += 1
         depth = 0
-        t = s
-        while t[:1] in (">", "|") and (t[:1] == ">" or depth or style == "|"):
-            depth += 1
-            t = t[1:].lstrip()
+        if s[0] == ">" or s[0] == "|":
+            t = s
+            while t[:1] in (">", "|") and (t[:1] == ">" or depth or style == "|"):
+                depth += 1
+                t = t[1:].lstrip()
         out.append((k + 1, s, old[k], ended, depth, False, False, k in intro))
     return _overlapping(out, parent) if parent else out
 
 
 def _overlapping(rows: list[tuple], parent: list[int]) -> list[tuple]:
     """rows with whether the ancestor has the line, and has it beside a neighbour of it."""
-    where: dict[int, set[int]] = {}
-    for k, h in enumerate(parent):
-        where.setdefault(h, set()).add(k)
-    none: set[int] = set()
-    at = [where.get(hashed(one_less(r[1])), none) | where.get(hashed(r[1]), none) if r[1][0] in ">|" else where.get(hashed(r[1]), none) for r in rows]
-    filled = [k for k, r in enumerate(rows) if form(r[1])[5]]  # marks alone are no neighbours
-    run = [False] * len(rows)
-    for i, j in zip(filled, filled[1:]):
-        if at[i] and at[j] and any(x + 1 in at[j] for x in at[i]):
-            run[i] = run[j] = True
-    return [(*r[:5], bool(a), b or bool(a) and len(parent) == 1, r[7]) for r, a, b in zip(rows, at, run)]
+    held, beside = set(parent), set(zip(parent, parent[1:]))
+    alone = len(parent) == 1
+    out = []
+    before, filled_at = (), -1
+    for r in rows:
+        s = r[1]
+        if s[0] == ">" or s[0] == "|":
+            mine = [h for h in (hashed(one_less(s)), hashed(s)) if h in held]
+            filled = bool(s.strip(">| "))  # marks alone are no neighbours
+        else:
+            h = hashed(s)
+            mine = (h,) if h in held else ()
+            filled = True
+        run = alone and bool(mine)
+        if filled:
+            if mine and before and any((x, y) in beside for x in before for y in mine):
+                run = True
+                b = out[filled_at]
+                out[filled_at] = (*b[:6], True, b[7])
+            before, filled_at = mine, len(out)
+        out.append((*r[:5], bool(mine), run, r[7]))
+    return out
 
 
 def _quote_begins(lines: list[str], parent: list[int] | None) -> tuple[int | None, str]:
@@ -213,69 +222,78 @@ def _quote_begins(lines: list[str], parent: list[int] | None) -> tuple[int | Non
 
 
 @lru_cache(maxsize=200_000)
-def form(line: str) -> tuple[str, bool, bool, bool, bool, bool]:
-    """What a line is by itself: its kind, whether it looks like a name, a sentence, an item, has
-    a phone number, and holds more than quote marks."""
-    return kind(line), bool(_NAME.match(line)), bool(_SENTENCE.search(line)), bool(_LISTED.match(line)), bool(_PHONE.search(line)), bool(line.strip(">| "))
-
+def form(line: str) -> tuple[str, bool, bool, bool, bool]:
+    """What a line is by itself: its kind, whether it looks like a name, a sentence or an item, and
+    has a phone number."""
+    return kind(line), bool(_NAME.match(line)), bool(_SENTENCE.search(line)), bool(_LISTED.match(line)), bool(_PHONE.search(line))
 
-def blocks_of(parsed: list[tuple]) -> list[list[tuple]]:
-    """Lines in blocks: paragraphs, cut where quoting, the end or the lines' form changes. An
-    introduction and the quoted paragraph after it are one block."""
-    return features_of(parsed)[0]
 
-
-def features_of(parsed: list[tuple]) -> tuple[list[list[tuple]], np.ndarray]:
-    """The blocks of a mail, see blocks_of(), and their features of FORM; those of CORPUS are 0."""
+def blocks_of(parsed: list[tuple]) -> tuple[list[list[tuple]], list[list]]:
+    """Lines in blocks, and sums over each block's lines. Blocks are paragraphs, cut where quoting,
+    the end or the lines' form changes; an introduction and the quoted paragraph after it are one.
+    Quoted blocks are told apart by mark, depth, introduction, ancestor and place; the form of
+    their lines is left at 0."""
     blocks: list[list[tuple]] = []
     sums: list[list] = []
     before_no, before_old, before_intro, before_shape = -1, False, False, None
     for row in parsed:
         no, text, old, ended, depth, held, run, intro = row
-        what, name, sentence, listed, phone, filled = form(text)
-        shape = (old, ended, depth, "text" if old or what == "greeting" else what)
+        filled = not depth or bool(text.strip(">| "))
+        what = "text"
+        if not old:
+            what, name, sentence, listed, phone = form(text)
+        shape = (old, ended, depth, "text" if what == "greeting" else what)
         adjacent = no == before_no + 1
         joins = old and before_old and (before_intro or adjacent and not filled)
         if not joins and (not adjacent or shape != before_shape):
             blocks.append([])
-            # lines, characters, contact, names, run, held, told, intro, closing, legal, greeting, sentence, listed, delimiter
-            sums.append([0] * 14)
+            # lines, characters, run, held, told, intro, contact, names, closing, legal, greeting, sentence, listed, delimiter, depth, quoted, after_end, marked
+            sums.append([0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, 0, depth, old, ended, depth > 0])
         blocks[-1].append(row)
         t = sums[-1]
         t[0] += 1
         t[1] += len(text)
-        t[2] += phone or what == "contact"
-        t[3] += name
-        t[4] += run
-        t[5] += held
-        t[6] += filled and not intro
-        t[7] += intro
-        t[8] += what == "closing" or what == "signed"
-        t[9] += what == "legal"
-        t[10] += what == "greeting"
-        t[11] += sentence
-        t[12] += listed
-        t[13] += what == "delimiter"
+        t[2] += run
+        t[3] += held
+        t[4] += filled and not intro
+        if old:
+            t[5] += intro
+            if before_intro:
+                t[14], t[17] = depth, depth > 0
+        else:
+            t[6] += phone or what == "contact"
+            t[7] += name
+            t[11] += sentence
+            t[12] += listed
+            if what != "text":
+                t[8] += what == "closing" or what == "signed"
+                t[9] += what == "legal"
+                t[10] += what == "greeting"
+                t[13] += what == "delimiter"
         before_no, before_old, before_intro, before_shape = no, old, intro, shape
-    x = np.zeros((len(blocks), len(FEATURES)), np.float32)
-    if blocks:
+    return blocks, sums
+
+
+def features(sums: list[list], per_mail: list[int]) -> np.ndarray:
+    """The features of FORM of the blocks of mails, of which each has so many; those of CORPUS are 0."""
+    x = np.zeros((len(sums), len(FEATURES)), np.float32)
+    if sums:
         t = np.array(sums, np.float32)
-        n, told = t[:, 0], np.maximum(t[:, 6], 1)
-        last = [b[-1] for b in blocks]
-        place = np.arange(len(blocks)) / len(blocks)
+        n, told = t[:, 0], np.maximum(t[:, 4], 1)
+        place = ragged(np.zeros(len(per_mail), np.int64), np.array(per_mail)) / np.repeat(per_mail, per_mail)
         x[:, : len(FORM)] = np.stack([
-            n, t[:, 1] / n, t[:, 2] / n, t[:, 3] / n, [r[4] for r in last], t[:, 4] / told, t[:, 5] / told, [b[0][2] for b in blocks], t[:, 7] / n, t[:, 8] / n, t[:, 9] / n, t[:, 10] / n,
-            [b[0][3] for b in blocks], place, t[:, 11] / n, t[:, 12] / n, [r[1][0] in ">|" for r in last], t[:, 13] / n, place == 0,
+            n, t[:, 1] / n, t[:, 6] / n, t[:, 7] / n, t[:, 14], t[:, 2] / told, t[:, 3] / told, t[:, 15], t[:, 5] / n, t[:, 8] / n, t[:, 9] / n, t[:, 10] / n,
+            t[:, 16], place, t[:, 11] / n, t[:, 12] / n, t[:, 17], t[:, 13] / n, place == 0,
         ], 1)
-    return blocks, x
+    return x
 
 
 def _told(block: list[tuple]) -> int:
     """How many of a block's lines an ancestor could hold."""
-    return max(1, sum(not r[7] and form(r[1])[5] for r in block))
+    return max(1, sum(not r[7] and bool(r[1].strip(">| ")) for r in block))
 
 
-_COLUMNS = [("graph_id", "string"), ("sender", "long"), ("blind", "boolean"), ("sampled", "boolean"), ("known", "boolean"), ("numbers", "array<int>"), ("size", "array<int>"), ("hashed", "array<int>"), ("lines", "array<long>"), ("features", "array<float>"), ("truth", "array<float>"), ("loose", "array<float>")]
+_COLUMNS = [("graph_id", "string"), ("sender", "long"), ("blind", "boolean"), ("sampled", "boolean"), ("known", "boolean"), ("numbers", "array<int>"), ("size", "array<int>"), ("hashed", "array<int>"), ("lines", "array<long>"), ("truth", "array<float>"), ("loose", "array<float>"), ("features", "array<float>")]
 _KINDS = {"string": pa.string(), "long": pa.int64(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32()), "array<long>": pa.list_(pa.int64()), "array<float>": pa.list_(pa.float32())}
 _SCHEMA = pa.schema([(n, _KINDS[k]) for n, k in _COLUMNS])
 
@@ -290,18 +308,23 @@ def segmented(mails: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in chunks(batch, batch.schema.get_field_index("body")):
-                rows = []
+                rows, all_sums = [], []
                 for graph_id, body, sender, name, parent, opens, sampled in zip(*(part.column(c).to_pylist() for c in ("graph_id", "body", "sender", "name", "parent", "opens", "sampled"))):
                     who = hashed(sender or "")
                     parsed = parse(body, parent, sender, name)
-                    held, run = ({r[0] for r in parsed if r[i]} for i in (5, 6))
+                    held, run = ({r[0] for r in parsed if r[i]} for i in (5, 6)) if sampled else (None, None)
                     for blind in (False, True)[: 1 + sampled]:
-                        blocks, x = features_of(parse(body, None, sender, name) if blind else parsed)
+                        blocks, sums = blocks_of(parse(body, None, sender, name) if blind else parsed)
+                        all_sums += sums
                         rows.append((
                             graph_id, who, blind, sampled, opens or parent is not None, [r[0] for b in blocks for r in b], [len(b) for b in blocks], [0 if b[0][2] else len(b) for b in blocks],
-                            [hashed(r[1]) for b in blocks if not b[0][2] for r in b], x.ravel(), *([sum(r[0] in lines for r in b) / _told(b) for b in blocks] if sampled else None for lines in (run, held)),
+                            [hashed(r[1]) for b in blocks if not b[0][2] for r in b], *([sum(r[0] in lines for r in b) / _told(b) for b in blocks] if sampled else None for lines in (run, held)),
                         ))
-                yield pa.RecordBatch.from_arrays([pa.array(c, _KINDS[k]) for c, (_, k) in zip(zip(*rows), _COLUMNS)] if rows else [pa.array([], _KINDS[k]) for _, k in _COLUMNS], schema=_SCHEMA)
+                made = [pa.array(c, _KINDS[k]) for c, (_, k) in zip(zip(*rows), _COLUMNS)] if rows else [pa.array([], _KINDS[k]) for _, k in _COLUMNS[:-1]]
+                per_mail = [len(r[6]) for r in rows]
+                flat = pa.array(features(all_sums, per_mail).ravel())
+                made.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(per_mail)) * len(FEATURES), pa.int32()), flat))
+                yield pa.RecordBatch.from_arrays(made, schema=_SCHEMA)
 
     return mails.select("graph_id", "body", "sender", "name", "parent", "opens", "sampled").mapInArrow(run, ", ".join(f"{n} {k}" for n, k in _COLUMNS))
 
@@ -323,7 +346,7 @@ def line_statistics(blocks: DataFrame, senders: DataFrame, mails: int) -> tuple[
     common = total.where((F.col("n_all") >= max(OWN_MAILS, mails * COMMON_SHARE)) & (F.col("senders") > 1)).select("line", "senders").toArrow()
     lines, senders_of = common.column("line").to_numpy(), common.column("senders").to_numpy()
     order = np.argsort(lines)
-    return own, lines[order], np.log2(senders_of[order]).astype(np.float32)
+    return cut(own), lines[order], np.log2(senders_of[order]).astype(np.float32)
 
 
 def _looked_up(keys: np.ndarray, sorted_keys: np.ndarray, values: np.ndarray) -> np.ndarray:
@@ -435,7 +458,7 @@ def fitted(sample: pa.Table, common: np.ndarray, senders: np.ndarray) -> Boosted
             for x in (b.x, bare):
                 xs.append(x[y >= 0])
                 ys.append(y[y >= 0])
-    return Boosted(rounds=60).fit(np.concatenate(xs), np.concatenate(ys).astype(float))
+    return Boosted().fit(np.concatenate(xs), np.concatenate(ys).astype(float))
 
 
 def new_lines(mails: DataFrame, sample: int = SAMPLE_MAILS, classifier: Boosted | None = None) -> DataFrame:
