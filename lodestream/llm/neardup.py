@@ -2,15 +2,15 @@
 
 Records are sets of items (words, or sequences of words); two are near-duplicates if
 their Jaccard similarity reaches a threshold. Sets that are equal are one class. Within a
-set, items are ordered by how many sets hold them, the rarest first: two similar sets
-must share an item of their prefixes. Classes with the same prefix and size are collapsed
-into one group; groups are joined on the items of their prefixes, group pairs filtered by
-size and position; the pairs that are left are expanded to classes and verified exactly.
+set, items are ordered by how many sets hold them, the rarest first, from exact counts that
+are joined to the items: two similar sets must share an item of their prefixes. Classes with
+the same prefix and size are collapsed into one group; groups are joined on the items of
+their prefixes, group pairs filtered by size and position; the pairs that are left are
+expanded to their member classes, filtered by parities of the members and verified exactly.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,10 +24,6 @@ from lodestream.llm.wordsets import mixed, word_sets
 from lodestream.session import cut
 from lodestream.sources.tables import table
 
-#: Counters of the frequency sketch; it has this size whatever the input has.
-SKETCH_BITS = 22
-_CHUNKS = 64
-
 #: Parities kept of a set, in bits.
 BITMAP = 512
 #: Sets of one item that meet in one place; a more frequent item is split.
@@ -41,41 +37,28 @@ PAIRS = 400_000
 CELL = 1_000
 
 
-def sketch(sets: DataFrame, bits: int = SKETCH_BITS) -> np.ndarray:
-    """How many sets hold an item of each hash bucket, over all sets, in 32 bits.
+def shared_items(rows: DataFrame) -> DataFrame:
+    """(item, sets): in how many rows each item stands, of those that stand in two or more; exact,
+    and combined before the shuffle."""
+    return rows.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("sets")).where("sets > 1")
 
-    Every partition counts into a fixed array; the arrays are summed chunk by chunk in
-    two steps, so no task and not the driver sees more than a bounded number of them.
-    """
-    size = 1 << bits
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.uint32)
+def entries_of(rows: DataFrame) -> DataFrame:
+    """(class_id, n, item) of the classes of rows (class_id, items), each once in a partition, so
+    that a class of very many records is small before any shuffle; n is the set's size."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        given = np.zeros(0, np.int64)
         for b in batches:
-            items = b.column(0).flatten().to_numpy()
-            if len(items):
-                total += np.bincount(items.view(np.uint64) >> np.uint64(64 - bits), minlength=size).astype(np.uint32)
-        yield from packed(total)
-
-    def packed(total: np.ndarray) -> Iterator[pa.RecordBatch]:
-        if total.any():
-            parts = [zlib.compress(x.tobytes(), 1) for x in np.split(total, _CHUNKS)]
-            yield pa.RecordBatch.from_pydict({"chunk": pa.array(range(_CHUNKS), pa.int32()), "counts": pa.array(parts, pa.binary())})
-
-    def added(t: pa.Table) -> pa.Table:
-        total = np.zeros(size // _CHUNKS, np.uint64)
-        for x in t.column("counts"):
-            total += np.frombuffer(zlib.decompress(x.as_py()), np.uint32)
-        return pa.table({"chunk": t.column("chunk").slice(0, 1).combine_chunks(), "counts": pa.array([zlib.compress(np.minimum(total, (1 << 32) - 1).astype(np.uint32).tobytes(), 1)], pa.binary())})
-
-    kind = "chunk int, counts binary"
-    parts = sets.select("items").mapInArrow(count, kind)
-    first = parts.withColumn("salt", F.spark_partition_id() % F.lit(max(1, sets.rdd.getNumPartitions() // 64))).groupBy("chunk", "salt").applyInArrow(lambda t: added(t), kind)
-    out = np.zeros(size, np.uint32)
-    step = size // _CHUNKS
-    for row in first.groupBy("chunk").applyInArrow(lambda t: added(t), kind).collect():  # 64 rows
-        out[row["chunk"] * step : (row["chunk"] + 1) * step] = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
-    return out
+            fresh = np.unique(b.column("class_id").to_numpy(), return_index=True)[1]
+            b = b.take(pa.array(np.sort(fresh)))
+            b = b.filter(pa.array(~np.isin(b.column("class_id").to_numpy(), given)))
+            given = np.append(given, b.column("class_id").to_numpy())
+            n = np.diff(b.column("items").offsets.to_numpy())
+            items = b.column("items").flatten()
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(b.column("class_id").to_numpy(), n)), pa.array(np.repeat(n, n).astype(np.int32)), items], ["class_id", "n", "item"])
+
+    return rows.select("class_id", "items").mapInArrow(run, "class_id long, n int, item long")
 
 
 def prefix_length(n: np.ndarray, threshold: float) -> np.ndarray:
@@ -83,73 +66,89 @@ def prefix_length(n: np.ndarray, threshold: float) -> np.ndarray:
     return n - np.ceil(n * threshold - 1e-9).astype(np.int64) + 1
 
 
-_ENTRIES = "part int, class_id long, grp long, n int, bitmap binary, items array<long>, at array<int>"
+_ENTRIES = "part int, class_id long, grp long, n int, shared int, bitmap binary, items array<long>, at array<int>, flag array<int>"
+_FIRST = 4
 
 
-def with_prefixes(rows: DataFrame, threshold: float, counts: np.ndarray, parts: int) -> DataFrame:
-    """One row for each class of rows (class_id, items) and each part that holds items of its
-    prefix: those items and their positions, the set's size, 512 parities of all its items,
-    and its group (equal prefix, size and parities).
+def with_prefixes(entries: DataFrame, threshold: float, parts: int) -> DataFrame:
+    """One row for each class of entries (class_id, n, item, sets) and each part that holds items of
+    its prefix: those items, their positions and flags, the set's size, how many of its items
+    other sets hold too, 512 parities of these, and its group (equal prefix and size).
 
-    Items that no other set holds are left out, as the sketch never counts too few. An item
-    of very many sets is split into blocks of them that meet two by two.
+    ``entries`` has the items that several sets hold; what a set has beyond them comes first in its
+    order and can't meet anything. An item of more than BLOCK sets is split into 2^k blocks of
+    classes; two blocks meet in a list of their own (flags 1 and 2), a block with itself in
+    another (flag 0), so no list is longer than two blocks. Such a class's group is cut by the
+    same blocks. Flag _FIRST marks the first item of a prefix.
     """
-    shipped = rows.sparkSession.sparkContext.broadcast(counts)
-    bits = int(counts.size).bit_length() - 1
+
+    def prefixes(classes: np.ndarray, n: np.ndarray, item: np.ndarray, sets: np.ndarray) -> pa.RecordBatch:
+        """Of whole classes, sorted by class, sets and item; a repeated entry counts once."""
+        keep = np.ones(len(item), bool)
+        keep[1:] = (classes[1:] != classes[:-1]) | (item[1:] != item[:-1])
+        classes, n, item, sets = classes[keep], n[keep].astype(np.int64), item[keep], sets[keep]
+        begins = np.ones(len(item), bool)
+        begins[1:] = classes[1:] != classes[:-1]
+        start = np.flatnonzero(begins)
+        doc = np.cumsum(begins) - 1
+        shared = np.diff(np.append(start, len(item)))
+        who, size = classes[start], n[start]
+        parity = np.bincount(doc * BITMAP + (mixed(item.view(np.uint64)) & np.uint64(BITMAP - 1)).astype(np.int64), minlength=len(who) * BITMAP) & 1
+        bitmap = np.packbits(parity.astype(np.uint8).reshape(len(who), BITMAP), axis=1)
+        position = np.arange(len(item)) - start[doc] + (size - shared)[doc]
+        inside = position < prefix_length(size, threshold)[doc]
+        first = begins[inside]
+        item, sets, doc, position = item[inside], sets[inside], doc[inside], position[inside]
+        grp = mixed(size.astype(np.uint64))
+        np.add.at(grp, doc, mixed(item.view(np.uint64)))
+        blocks = np.int64(1) << np.ceil(np.log2(np.maximum(1, sets / BLOCK))).astype(np.int64)
+        most = np.ones(len(who), np.int64)
+        np.maximum.at(most, doc, blocks)
+        own = mixed(who.view(np.uint64))
+        grp = mixed(grp + mixed((own & (most - 1).astype(np.uint64)) + np.uint64(1)))
+        flag = np.where(first, _FIRST, 0)
+        hot = blocks > 1
+        if hot.any():
+            i = np.repeat(np.flatnonzero(hot), blocks[hot])
+            other = ragged(np.zeros(hot.sum(), np.int64), blocks[hot]).astype(np.uint64)
+            mine = own[doc[i]] & (blocks[i] - 1).astype(np.uint64)
+            meets = mixed(item[i].view(np.uint64) + mixed(np.minimum(mine, other) * np.uint64(1 << 32) + np.maximum(mine, other) + np.uint64(1))).view(np.int64)
+            side = np.where(mine == other, 0, np.where(mine < other, 1, 2))
+            item = np.concatenate([item[~hot], meets])
+            flag = np.concatenate([flag[~hot], flag[i] | side])
+            doc, position = np.concatenate([doc[~hot], doc[i]]), np.concatenate([position[~hot], position[i]])
+        part = (mixed(item.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+        order = np.lexsort((item, part, doc))
+        item, doc, position, part, flag = item[order], doc[order], position[order], part[order], flag[order]
+        new = np.ones(len(item), bool)
+        new[1:] = (doc[1:] != doc[:-1]) | (part[1:] != part[:-1])
+        starts = np.flatnonzero(new)
+        offsets = pa.array(np.append(starts, len(item)), pa.int32())
+        whose = doc[starts]
+        maps = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITMAP // 8), len(who), [None, pa.py_buffer(bitmap.tobytes())]).take(pa.array(whose)).cast(pa.binary())
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (item, position.astype(np.int32), flag.astype(np.int32))]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[starts].astype(np.int32)), pa.array(who[whose]), pa.array(grp.view(np.int64)[whose]), pa.array(size[whose].astype(np.int32)), pa.array(shared[whose].astype(np.int32)), maps, *lists],
+            ["part", "class_id", "grp", "n", "shared", "bitmap", "items", "at", "flag"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = shipped.value
-        given = np.zeros(0, np.int64)
+        rest = None  # the last class, which may go on in the next batch
         for b in batches:
-            fresh = np.unique(b.column("class_id").to_numpy(), return_index=True)[1]
-            b = b.take(pa.array(np.sort(fresh)))
-            b = b.filter(pa.array(~np.isin(b.column("class_id").to_numpy(), given)))
-            classes, lists = b.column("class_id").to_numpy(), b.column("items")
-            given = np.append(given, classes)
-            n = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-            items = lists.flatten().to_numpy()
-            doc = np.repeat(np.arange(len(n)), n)
-            at = items.view(np.uint64)
-            parity = np.bincount(doc * BITMAP + (mixed(at) & np.uint64(BITMAP - 1)).astype(np.int64), minlength=len(n) * BITMAP) & 1
-            bitmap = np.packbits(parity.astype(np.uint8).reshape(len(n), BITMAP), axis=1)
-            count = held[at >> np.uint64(64 - bits)].astype(np.int64)
-            order = np.lexsort((items, count, doc))
-            items, count = items[order], count[order]
-            position = np.arange(len(items)) - np.repeat(np.cumsum(n) - n, n)
-            inside = position < np.repeat(prefix_length(n, threshold), n)
-            items, count, doc, position = items[inside], count[inside], doc[inside], position[inside]
-            grp = n.astype(np.uint64)
-            np.add.at(grp, doc, mixed(items.view(np.uint64) + mixed(position.astype(np.uint64) + np.uint64(1))))
-            for word in np.ascontiguousarray(bitmap).view(np.uint64).T:
-                grp = mixed(grp) + word
-            grp = mixed(grp)
-            shared = count > 1
-            items, count, doc, position = items[shared], count[shared], doc[shared], position[shared]
-            blocks = -(-count // BLOCK)
-            hot = blocks > 1
-            if hot.any():
-                i = np.repeat(np.flatnonzero(hot), blocks[hot])
-                other = (np.arange(len(i)) - np.repeat(np.cumsum(blocks[hot]) - blocks[hot], blocks[hot])).astype(np.uint64)
-                mine = grp[doc[i]] % blocks[i].astype(np.uint64)
-                split = mixed(items[i].view(np.uint64) + mixed(np.minimum(mine, other) * np.uint64(1 << 32) + np.maximum(mine, other) + np.uint64(1))).view(np.int64)
-                items = np.concatenate([items[~hot], split])
-                doc, position = np.concatenate([doc[~hot], doc[i]]), np.concatenate([position[~hot], position[i]])
-            part = (mixed(items.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
-            order = np.lexsort((items, part, doc))
-            items, doc, position, part = items[order], doc[order], position[order], part[order]
-            new = np.ones(len(items), bool)
-            new[1:] = (doc[1:] != doc[:-1]) | (part[1:] != part[:-1])
-            starts = np.flatnonzero(new)
-            offsets = pa.array(np.append(starts, len(items)), pa.int32())
-            whose = doc[starts]
-            maps = pa.FixedSizeBinaryArray.from_buffers(pa.binary(BITMAP // 8), len(n), [None, pa.py_buffer(bitmap.tobytes())]).take(pa.array(whose)).cast(pa.binary())
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (items, position.astype(np.int32))]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part[starts].astype(np.int32)), pa.array(classes[whose]), pa.array(grp.view(np.int64)[whose]), pa.array(n[whose].astype(np.int32)), maps, *lists],
-                ["part", "class_id", "grp", "n", "bitmap", "items", "at"],
-            )
-
-    return rows.select("class_id", "items").mapInArrow(run, _ENTRIES)
+            columns = [b.column(c).to_numpy() for c in ("class_id", "n", "item", "sets")]
+            if rest is not None:
+                columns = [np.concatenate(x) for x in zip(rest, columns)]
+            if not len(columns[0]):
+                continue
+            at = int(np.flatnonzero(columns[0] != columns[0][-1])[-1]) + 1 if columns[0][0] != columns[0][-1] else 0
+            rest = [c[at:] for c in columns]
+            if at:
+                yield prefixes(*(c[:at] for c in columns))
+        if rest is not None:
+            yield prefixes(*rest)
+
+    sorted_ = entries.select("class_id", "n", "item", "sets").repartition("class_id").sortWithinPartitions("class_id", "sets", "item")
+    return sorted_.mapInArrow(run, _ENTRIES)
 
 
 def matched(t: pa.Table, threshold: float) -> pa.Table:
@@ -158,24 +157,26 @@ def matched(t: pa.Table, threshold: float) -> pa.Table:
     An overlap of share * (na + nb) is needed. So an entry with r items left (its own
     included) can be the first common item only with partners of at most r / share - n
     items: from each entry, partners in the same item's list of its own size or more up to
-    that bound are looked at. Two sets that similar differ in few parities. Groups are
-    matched; what passes is expanded to the groups' classes, and so are groups of several.
+    that bound are looked at. Groups are matched; what passes is expanded to the groups'
+    classes, and so are groups of several, where their first item stands. Of two sets that
+    similar the shared items differ in few parities.
     """
     share = threshold / (1 + threshold)
-    grp_all, class_all = t.column("grp").to_numpy(), t.column("class_id").to_numpy()
-    known, first, of = np.unique(grp_all, return_index=True, return_inverse=True)
-    lists = t.column("items").combine_chunks()
-    size = np.diff(lists.offsets.to_numpy())
+    class_all = t.column("class_id").to_numpy()
+    known, first, of = np.unique(t.column("grp").to_numpy(), return_index=True, return_inverse=True)
+    lists = [t.column(c).combine_chunks() for c in ("items", "at", "flag")]
+    size = np.diff(lists[0].offsets.to_numpy())
     keep = np.zeros(len(t), bool)
     keep[first] = True  # the entries of a group are equal in all its classes
     row = np.repeat(np.arange(len(t)), size)
     inside = keep[row]
     row = row[inside]
-    item, at = lists.flatten().to_numpy()[inside], t.column("at").combine_chunks().flatten().to_numpy()[inside].astype(np.int64)
-    grp, n = of[row], t.column("n").to_numpy()[row].astype(np.int64)
-    maps = np.frombuffer(b"".join(t.column("bitmap").take(pa.array(first)).to_pylist()), np.uint64).reshape(-1, BITMAP // 64)
+    item, at, flag = (x.flatten().to_numpy()[inside].astype(np.int64) for x in lists)
+    sizes, shared = (t.column(c).to_numpy().astype(np.int64) for c in ("n", "shared"))
+    maps = np.frombuffer(b"".join(t.column("bitmap").to_pylist()), np.uint64).reshape(-1, BITMAP // 64)
+    grp, n = of[row], sizes[row]
     order = np.lexsort((grp, n, item))
-    item, grp, n, at = item[order], grp[order], n[order], at[order]
+    item, grp, n, at, flag = item[order], grp[order], n[order], at[order], flag[order]
     cap = np.floor((n - at) / share + 1e-9).astype(np.int64) - n
     rank = np.cumsum(np.append(0, item[1:] != item[:-1]))
     width = int(n.max()) + 2 if len(n) else 2
@@ -184,7 +185,19 @@ def matched(t: pa.Table, threshold: float) -> pa.Table:
     begin = np.arange(len(key)) + 1
     many = np.where(cap >= n, np.maximum(0, stop - begin), 0)
     total = np.cumsum(many)
-    found: list[np.ndarray] = []
+    side = flag & 3
+    # members by group
+    members = np.argsort(of, kind="stable")
+    amount = np.bincount(of, minlength=len(known))
+    where = np.cumsum(amount) - amount
+
+    def near(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which pairs of rows differ in few enough parities."""
+        most = shared[a] + shared[b] - 2 * np.ceil((sizes[a] + sizes[b]) * share - 1e-9).astype(np.int64)
+        return np.bitwise_count(maps[a] ^ maps[b]).sum(1, dtype=np.int64) <= most
+
+    singles: list[np.ndarray] = []
+    several: list[np.ndarray] = []
     for k in range(0, int(total[-1]) if len(total) else 0, PAIRS):
         i = np.arange(np.searchsorted(total, k, "right"), min(np.searchsorted(total, k + PAIRS, "left") + 1, len(many)))
         before = total[i] - many[i]
@@ -192,38 +205,41 @@ def matched(t: pa.Table, threshold: float) -> pa.Table:
         some = np.minimum(total[i], k + PAIRS) - np.maximum(before, k)
         i, skip, some = i[some > 0], skip[some > 0], some[some > 0]
         a, b = np.repeat(i, some), ragged(begin[i] + skip, some)
-        ok = cap[b] >= n[a]
-        a, b = a[ok], b[ok]
-        both = n[a] + n[b]
-        most = both - 2 * np.ceil(both * share - 1e-9).astype(np.int64)
-        a, b = grp[a], grp[b]
-        differ = np.bitwise_count(maps[a] ^ maps[b]).sum(1, dtype=np.int64)
-        a, b = a[differ <= most], b[differ <= most]
-        found.append(np.unique(np.minimum(a, b) * len(known) + np.maximum(a, b)))
-    pairs = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
-    # expand groups to classes
-    order = np.argsort(of, kind="stable")
-    amount = np.bincount(of, minlength=len(known))
-    begin = np.cumsum(amount) - amount
-    members = class_all[order]
-    several = np.flatnonzero(amount > 1)
-    ga, gb = (np.concatenate([x, several]) for x in (np.divmod(pairs, max(1, len(known)))))
-    left = ragged(begin[ga], amount[ga])
-    times = np.repeat(amount[gb], amount[ga])
-    a, b = members[np.repeat(left, times)], members[ragged(np.repeat(begin[gb], amount[ga]), times)]
+        ok = (cap[b] >= n[a]) & ((side[a] == 0) | (side[a] != side[b])) & (grp[a] != grp[b])
+        a, b = grp[a[ok]], grp[b[ok]]
+        one = (amount[a] == 1) & (amount[b] == 1)
+        close = one.copy()
+        close[one] = near(first[a[one]], first[b[one]])
+        for found, which in ((singles, close), (several, ~one)):
+            found.append(np.unique(np.minimum(a[which], b[which]) * len(known) + np.maximum(a[which], b[which])))
+    pairs_of = lambda found: np.divmod(np.unique(np.concatenate(found)), len(known)) if found else (np.zeros(0, np.int64),) * 2
+    a, b = pairs_of(singles)
+    out = [(class_all[first[a]], class_all[first[b]])]
+    ga, gb = pairs_of(several)
+    alone = np.unique(grp[(flag == _FIRST) & (amount[grp] > 1)])
+    for x, y in zip(np.concatenate([ga, alone]).tolist(), np.concatenate([gb, alone]).tolist()):
+        left, right = members[where[x] : where[x] + amount[x]], members[where[y] : where[y] + amount[y]]
+        step = max(1, PAIRS // len(right))
+        for k in range(0, len(left), step):
+            some = left[k : k + step]
+            a, b = np.repeat(some, len(right)), np.tile(right, len(some))
+            ok = near(a, b) if x != y else near(a, b) & (a < b)
+            out.append((class_all[a[ok]], class_all[b[ok]]))
+    a, b = (np.concatenate(x) for x in zip(*out))
     a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
     return pa.table({"a": pa.array(a), "b": pa.array(b)})
 
 
-def similar_classes(rows: DataFrame, threshold: float, bits: int = SKETCH_BITS) -> DataFrame:
+def similar_classes(rows: DataFrame, threshold: float) -> DataFrame:
     """(a, b) with a < b: all pairs of classes whose sets have Jaccard similarity >= threshold.
 
     ``rows`` has class_id (bigint, the same for equal sets) and items (sorted distinct
     hashes, none empty), and is read several times, so it should be a written table.
     """
-    counts = sketch(rows, bits)
-    parts = max(rows.sparkSession.sparkContext.defaultParallelism, int(counts.sum(dtype=np.int64)) // ENTRIES)
-    entries = with_prefixes(rows, threshold, counts, parts)
+    items = cut(shared_items(rows))
+    held = items.agg(F.sum("sets")).first()[0] or 0
+    parts = max(rows.sparkSession.sparkContext.defaultParallelism, held // ENTRIES)
+    entries = with_prefixes(entries_of(rows).join(items, "item"), threshold, parts)
     candidates = cut(entries.groupBy("part").applyInArrow(lambda t: matched(t, threshold), "a long, b long").distinct())
     # exact, on the sets themselves
     some = candidates.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
@@ -233,7 +249,7 @@ def similar_classes(rows: DataFrame, threshold: float, bits: int = SKETCH_BITS)
     return found.where(F.col("common") >= (F.size("sa") + F.size("sb") - F.col("common")) * threshold - 1e-9).select("a", "b")
 
 
-def near_duplicates(sets: DataFrame, threshold: float, bits: int = SKETCH_BITS) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(sets: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
     """(membership, links) of records (key, items).
 
     membership: (key, class_id, class_size, representative) of every record with a
@@ -246,7 +262,7 @@ def near_duplicates(sets: DataFrame, threshold: float, bits: int = SKETCH_BITS)
     membership = rows.select("key", "class_id").distinct()
     sizes = membership.groupBy("class_id").agg(F.count("*").alias("class_size"), F.min("key").alias("representative"))
     membership = membership.join(sizes, "class_id").select("key", "class_id", "class_size", "representative")
-    return membership, cut(similar_classes(rows, threshold, bits))
+    return membership, cut(similar_classes(rows, threshold))
 
 
 def record_pairs(membership: DataFrame, links: DataFrame, expanded: int | None = None) -> DataFrame:

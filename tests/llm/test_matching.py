@@ -43,7 +43,7 @@ def corpus(seed, n):
 def test_pairs_match_brute_force(spark, length, threshold):
     texts = corpus(7, 260)
     df = spark.createDataFrame(list(texts.items()) + [(None, "w1 w2 w3 w4"), ("empty", ""), ("null", None)] + list(texts.items())[:9], "key string, text string")
-    membership, links = neardup.near_duplicates(wordsets.word_sets(df, "text", length), threshold, bits=12)
+    membership, links = neardup.near_duplicates(wordsets.word_sets(df, "text", length), threshold)
     got = {tuple(r) for r in neardup.record_pairs(membership, links).collect()}
     assert got == brute({k: shingles(t, length) for k, t in texts.items()}, threshold)
 
@@ -53,14 +53,14 @@ def test_frequent_items_are_split_into_blocks(spark, monkeypatch):
     texts = corpus(3, 120)
     df = spark.createDataFrame(list(texts.items()), "key string, text string")
     rows = wordsets.word_sets(df, "text", 1)
-    got = {tuple(r) for r in neardup.record_pairs(*neardup.near_duplicates(rows, 0.6, bits=12)).collect()}
+    got = {tuple(r) for r in neardup.record_pairs(*neardup.near_duplicates(rows, 0.6)).collect()}
     assert got == brute({k: shingles(t, 1) for k, t in texts.items()}, 0.6)
 
 
 def test_large_classes_give_a_star(spark):
     rows = [(f"k{k:03d}", "one two three four five six") for k in range(60)] + [("z", "one two three four five seven")]
     sets = wordsets.word_sets(spark.createDataFrame(rows, "key string, text string"), "text", 1)
-    membership, links = neardup.near_duplicates(sets, 0.7, bits=12)
+    membership, links = neardup.near_duplicates(sets, 0.7)
     got = {tuple(r) for r in neardup.record_pairs(membership, links, expanded=8).collect()}
     assert got == {("k000", f"k{k:03d}") for k in range(1, 60)} | {("k000", "z")}
     assert {r["class_size"] for r in membership.collect()} == {60, 1}
@@ -72,7 +72,7 @@ def test_large_classes_give_all_pairs(spark, monkeypatch):
     words = "one two three four five six".split()
     texts = {f"k{k:03d}": " ".join(words[k % 6 :] + words[: k % 6]) for k in range(40)} | {f"m{k:03d}": " ".join(words[:5] + ["seven"]) for k in range(20)}
     df = spark.createDataFrame([*texts.items(), ("k000", texts["m000"])], "key string, text string")
-    got = [tuple(r) for r in neardup.record_pairs(*neardup.near_duplicates(wordsets.word_sets(df, "text", 1), 0.7, bits=12)).collect()]
+    got = [tuple(r) for r in neardup.record_pairs(*neardup.near_duplicates(wordsets.word_sets(df, "text", 1), 0.7)).collect()]
     assert len(got) == len(set(got)) and set(got) == {(a, b) for a in texts for b in texts if a < b}
 
 
@@ -81,35 +81,157 @@ def test_empty_input(spark):
     assert neardup.record_pairs(*neardup.near_duplicates(sets, 0.5)).count() == 0
 
 
-def test_sketch_never_counts_too_few(spark):
+def test_frequencies_are_exact(spark):
     rng = random.Random(4)
-    rows = [(k, sorted(rng.randrange(-(1 << 62), 1 << 62) for _ in range(20)) + [1 << 61]) for k in range(200)]
-    counts = neardup.sketch(spark.createDataFrame(rows, "class_id long, items array<long>"), 12)
-    true = Counter(x for _, items in rows for x in items)
-    for x, n in true.items():
-        assert counts[np.uint64(x & (2**64 - 1)) >> np.uint64(52)] >= n
+    rows = [(k, sorted({rng.randrange(50) for _ in range(rng.randint(0, 20))})) for k in range(200)]
+    got = {r["item"]: r["sets"] for r in neardup.shared_items(spark.createDataFrame(rows, "class_id long, items array<long>")).collect()}
+    assert got == {x: n for x, n in Counter(x for _, items in rows for x in items).items() if n > 1}
 
 
-def test_sketch_counts_beyond_16_bits(spark):
-    """A hot item keeps its count, so that its blocks don't grow."""
+def test_lists_of_a_hot_item_stay_short(spark):
+    """One item in 200,000 sets: no list holds more than two blocks of them, and all pairs of sets meet."""
     from pyspark.sql import functions as F
 
-    counts = neardup.sketch(spark.range(150_000).select(F.col("id").alias("class_id"), F.array(F.lit(1 << 61)).alias("items")), 12)
-    assert counts.max() == counts.sum() == 150_000
+    total = 200_000
+    entries = spark.range(total).select(F.col("id").alias("class_id"), F.lit(1).alias("n"), F.lit(77).cast("bigint").alias("item"), F.lit(total).cast("bigint").alias("sets"))
+    rows = neardup.with_prefixes(entries, 0.5, 4)
+    lists = rows.select(F.explode("items").alias("list")).groupBy("list").agg(F.count("*").alias("n"))
+    longest, number = lists.agg(F.max("n"), F.count("*")).first()
+    assert longest <= 2.2 * neardup.BLOCK < total / 1.7
+    assert number == 4 * 5 // 2
+    where = rows.where("class_id < 40").select("class_id", F.explode("items").alias("list")).groupBy("class_id").agg(F.collect_set("list").alias("lists")).collect()
+    assert all(set(a["lists"]) & set(b["lists"]) for a in where for b in where)
+
+
+def test_groups_collapse_equal_prefixes(spark):
+    """Documents of one prefix and size with another rest: one group of several classes, whose
+    members are told apart and matched after it was expanded."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(8)
+    sets = {}
+    for g in range(6):
+        rare = [f"rare{g}x{k}" for k in range(8)]
+        for m in range(5):
+            sets[f"g{g}m{m}"] = " ".join(rare + rng.sample([f"common{k}" for k in range(12)], 8))
+    df = spark.createDataFrame(list(sets.items()), "key string, text string")
+    rows = wordsets.word_sets(df, "text", 1).withColumn("class_id", F.xxhash64("items"))
+    groups, classes = neardup.with_prefixes(neardup.entries_of(rows).join(neardup.shared_items(rows), "item"), 0.7, 4).agg(F.countDistinct("grp"), F.countDistinct("class_id")).first()
+    assert classes == 30 and groups == 6
+    got = {tuple(r) for r in neardup.record_pairs(*neardup.near_duplicates(rows.select("key", "items"), 0.7)).collect()}
+    want = brute({k: shingles(t, 1) for k, t in sets.items()}, 0.7)
+    assert got == want and 0 < len(want) < 6 * 10
 
 
 def claims(spark, rows):
     return spark.createDataFrame(rows, "grp string, field string, row string, source string, at_ms long, value string, raw string")
 
 
-def test_strict_prior_is_the_latest_value(spark):
+def test_latest_value_of_each_field(spark):
+    from pyspark.sql import functions as F
+
     rng = random.Random(9)
-    rows = [(f"g{g}", f, f"r{g}{r:02d}", f"s{rng.randint(0, 3)}", rng.randint(0, 5), v := rng.choice("abc"), v) for g in range(20) for f in ("x", "y") for r in range(rng.randint(1, 5))]
-    got = {(r["grp"], r["field"]): r["row"] for r in survivor.survivors(survivor.fuse(claims(spark, rows))).collect()}
-    want = {}
-    for g, f, row, _, at, _, _ in rows:
-        want[g, f] = min(want.get((g, f), (10**9, "")), (-at, row)) if (g, f) in want else (-at, row)
-    assert got == {k: v[1] for k, v in want.items()}
+    rows = [(f"g{g}" if g else None, f"r{g}{r:02d}", rng.randint(0, 5), rng.choice(["a", "b", None]), rng.choice(["c", None])) for g in range(20) for r in range(rng.randint(1, 5))]
+    df = spark.createDataFrame(rows + rows[:9], "k string, row string, at_ms long, x string, y string")
+    got = [tuple(r) for r in survivor.latest(df, ["k"], "row", "at_ms", {"x": F.col("x"), "y": F.col("y")}).collect()]
+    want = set()
+    for g in {r[0] for r in rows if r[0]}:
+        mine = [r for r in rows if r[0] == g]
+        for name, k in (("x", 3), ("y", 4)):
+            held = [(-r[2], r[1]) for r in mine if r[k] is not None]
+            if held and len(mine) > 1:
+                want.add((min(r[1] for r in mine), name, min(held)[1]))
+    assert len(got) == len(want) and set(got) == want
+    assert survivor.latest(df.limit(0), ["k"], "row", "at_ms", {"x": F.col("x")}).count() == 0
+
+
+def fused_by_hand(rows, rounds):
+    """The model of fuse() on lists: (grp, field, row) -> (copy, log_odds, p)."""
+    S = survivor
+    first = {}
+    for g, f, row, s, at, v, _ in sorted(rows, key=lambda r: (r[4], r[2])):
+        first.setdefault((g, f, v), (row, s))
+    is_later = lambda g, f, row, s, v: row != first[g, f, v][0] and s != first[g, f, v][1]
+    copy = {(g, f, row): S.DEPENDENT if is_later(g, f, row, s, v) else 0.0 for g, f, row, s, _, v, _ in rows}
+    accuracy = dict.fromkeys({r[3] for r in rows}, S.ACCURACY)
+
+    def posterior():
+        odds = defaultdict(float)
+        for g, f, row, s, _, v, _ in rows:
+            a = min(max(accuracy[s], 0.01), 0.99)
+            odds[g, f, v] += np.log(S.FALSE_VALUES * a / (1 - a)) * (1 - S.COPIED * copy[g, f, row])
+        z = defaultdict(float)
+        for (g, f, _), o in odds.items():
+            z[g, f] += np.exp(o)
+        return odds, {k: np.exp(o) / z[k[:2]] for k, o in odds.items()}
+
+    for _ in range(rounds):
+        _, p = posterior()
+        mine = defaultdict(list)
+        for g, f, _, s, _, v, _ in rows:
+            mine[s].append(p[g, f, v])
+        accuracy_before, accuracy = accuracy, {s: (sum(x) + S.ACCURACY * S.WEIGHT) / (len(x) + S.WEIGHT) for s, x in mine.items()}
+        said = defaultdict(set)
+        for g, f, _, s, _, v, _ in rows:
+            said[g, f, s].add(v)
+        shared = {(g, f, v, s, first[g, f, v][1]) for g, f, row, s, _, v, _ in rows if is_later(g, f, row, s, v)}
+        evidence = defaultdict(float)
+        for g, f, v, s, o in shared:
+            a, b = accuracy[s], accuracy[o]
+            alone, same = ((1 - a) * (1 - b) / S.FALSE_VALUES, 1 - b) if p[g, f, v] < 0.5 else (a * b, b)
+            evidence[s, o] += np.log((S.COPIED * same + (1 - S.COPIED) * alone) / alone)
+        for s, o in evidence:
+            evidence[s, o] += np.log(1 - S.COPIED) * sum(x == s and (g, f, o) in said and not said[g, f, s] & said[g, f, o] for g, f, x in said)
+        for g, f, row, s, _, v, _ in rows:
+            if is_later(g, f, row, s, v):
+                e = min(max(evidence[s, first[g, f, v][1]], -30), 30)
+                copy[g, f, row] = 1 / (1 + np.exp(-e - np.log(S.DEPENDENT / (1 - S.DEPENDENT))))
+        if max(abs(accuracy[s] - accuracy_before[s]) for s in accuracy) <= S.SETTLED:
+            break
+    odds, p = posterior()
+    return {(g, f, row): (copy[g, f, row], odds[g, f, v], p[g, f, v]) for g, f, row, _, _, v, _ in rows}
+
+
+def test_fusion_matches_the_model_by_hand(spark):
+    rng = random.Random(5)
+    rows = [(f"g{g}", f, f"r{g}{r:02d}", f"s{rng.randint(0, 4)}", rng.randint(0, 5), v := rng.choice("aaab" + str(r)), v) for g in range(25) for f in ("x", "y") for r in range(rng.randint(1, 5))]
+    want = fused_by_hand(rows, survivor.ROUNDS)
+    got = {(r["grp"], r["field"], r["row"]): (r["copy"], r["log_odds"], r["p"]) for r in survivor.fuse(claims(spark, rows)).collect()}
+    assert got.keys() == want.keys()
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, abs=1e-6), k
+
+
+def test_disagreement_lowers_dependence(spark):
+    """Two sources share 40 true values and differ in 80 fields: no copiers. A planted copier is one."""
+    rows = []
+    for k in range(120):
+        g = f"g{k:03d}"
+        t = f"t{k}"
+        said = (("a", 1, t if k < 40 else f"a{k}" if k % 2 else t), ("b", 2, t if k < 40 else t if k % 2 else f"b{k}"), ("c", 3, t), ("d", 4, f"a{k}" if k >= 40 and k % 2 else t), ("e", 5, t))
+        rows += [(g, "x", f"{g}{s}", s, at, v, v) for s, at, v in said]
+    fused = survivor.fuse(claims(spark, rows)).where("copy > 0").groupBy("source").agg({"copy": "max"}).toDF("source", "copy")
+    copy = {r["source"]: r["copy"] for r in fused.collect()}
+    assert copy["b"] < 0.01 and copy["d"] > 0.9
+
+
+def test_planted_accuracies_are_found(spark):
+    """Sources of known accuracy, one of them copied: the estimates are near, and more true values survive than by recency."""
+    rng = random.Random(2)
+    true = {"a": 0.95, "b": 0.9, "c": 0.6, "d": 0.5}
+    rows = []
+    for k in range(300):
+        g = f"g{k:03d}"
+        say = {s: "t" if rng.random() < p else f"f{rng.randint(0, 9)}" for s, p in true.items()}
+        say["e"] = say["d"] if rng.random() < 0.95 else "t"  # e copies d, and is always the newest
+        rows += [(g, "x", f"{g}{s}", s, "abcde".index(s), v, v) for s, v in say.items()]
+    fused = survivor.fuse(claims(spark, rows))
+    accuracy = {r["source"]: r["accuracy"] for r in fused.select("source", "accuracy").distinct().collect()}
+    for s, p in true.items():
+        assert abs(accuracy[s] - p) < 0.08, (s, accuracy[s])
+    won = [r["value"] for r in survivor.survivors(fused, half_life_ms=100).collect()]
+    newest = [v for *_, s, _, v, _ in rows if s == "e"]
+    assert won.count("t") / len(won) > 0.95 > newest.count("t") / len(newest)
 
 
 def test_copied_votes_count_less(spark):
