@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from lodestream.operators.slices import before
+
 DAY_MS = 86_400_000
 
 
 def cooled(rows: DataFrame, key: str, ms: str, quiet_ms: int, tie: str) -> DataFrame:
-    """The rows before which their key was quiet for at least quiet_ms; the first always."""
-    gap = F.col(ms) - F.lag(ms).over(W.partitionBy(key).orderBy(ms, tie))
-    return rows.withColumn("__gap", gap).where(F.col("__gap").isNull() | (F.col("__gap") >= quiet_ms)).drop("__gap")
+    """The rows before which their key was quiet for at least quiet_ms; the first always. A key
+    may hold any share of the rows."""
+    rows = before(rows, [key], [ms, tie], {"__last_ms": ms})
+    return rows.where(F.col("__last_ms").isNull() | (F.col(ms) - F.col("__last_ms") >= quiet_ms)).drop("__last_ms")
 
 
 def in_window(rows: DataFrame, key: str, ms: str, width_ms: int, out: str) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from lodestream.functions import extract as X
 from lodestream.functions.text import normal_form
+from lodestream.operators.slices import before, id_place
 from lodestream.session import cut
 
 #: Weights and thresholds of the score (fixed values).
@@ -44,8 +45,7 @@ def title_score(a: Column, b: Column) -> Column:
 
 def score_neighbours(rows: DataFrame, block: list[str], order: list[str], title: str, skills: str, experience: str) -> DataFrame:
     """rows with ``score`` against the row before in the same block and ``decision``."""
-    w = W.partitionBy(*block).orderBy(*order)
-    df = rows.withColumn("__title", F.lag(title).over(w)).withColumn("__skills", F.lag(skills).over(w)).withColumn("__exp", F.lag(experience).over(w))
+    df = before(rows, block, order, {"__title": title, "__skills": skills, "__exp": experience}, id_place(F.col(order[0])))
     mine, other = X.number_range(F.col(experience)), X.number_range(F.col("__exp"))
     score = X.weighted([
         (TITLE, title_score(F.col(title), F.col("__title"))),

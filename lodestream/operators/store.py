@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestream.functions.values import real_or_null
+from lodestream.operators import slices
 
 
 def field_changes(before: Column, after: Column) -> Column:
@@ -36,7 +36,7 @@ def upsert(current: DataFrame, incoming: DataFrame, key: list[str], order: str)
 
 def numbered(rows: DataFrame, day: str, order: list[str], start: DataFrame | None = None, out: str = "seq") -> DataFrame:
     """Gap-free numbers per day in the order of arrival, continuing after ``start`` (day, last)."""
-    rows = rows.withColumn(out, F.row_number().over(W.partitionBy(day).orderBy(*order)).cast("bigint"))
+    rows = slices.numbered(rows, [day], order, out)
     if start is None:
         return rows
     return rows.join(start, day, "left").withColumn(out, F.col(out) + F.coalesce("last", F.lit(0))).drop("last")
@@ -44,6 +44,5 @@ def numbered(rows: DataFrame, day: str, order: list[str], start: DataFrame | Non
 
 def missing_numbers(rows: DataFrame, day: str, seq: str) -> DataFrame:
     """(day, from_seq, to_seq): the ranges of numbers that a day lacks, from 1 on."""
-    w = W.partitionBy(day).orderBy(seq)
-    gaps = rows.select(day, seq).distinct().withColumn("before", F.coalesce(F.lag(seq).over(w), F.lit(0)))
+    gaps = slices.before(rows.select(day, seq).distinct(), [day], [seq], {"last": seq}).withColumn("before", F.coalesce("last", F.lit(0)))
     return gaps.where(F.col(seq) > F.col("before") + 1).select(day, (F.col("before") + 1).alias("from_seq"), (F.col(seq) - 1).alias("to_seq"))

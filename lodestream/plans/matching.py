@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestream.functions import extract as X
 from lodestream.operators import resolve as R
+from lodestream.operators.slices import before, id_place
 from lodestream.plans.base import query
 from lodestream.plans.texts import LOWER, NORM
 from lodestream.sources.tables import table
@@ -87,8 +87,7 @@ def history_autofill(spark, folder):
 
     d = demands(spark, folder).where("job_id is not null").select("job_id", normal_form(F.col("requirement_from")).alias("client"), normal_form(F.col("job_title")).alias("title"), "location").distinct()
     d = d.where("client is not null and title is not null").withColumn("loc", real_or_null(F.col("location")))
-    w = W.partitionBy("client", "title").orderBy("job_id", F.asc_nulls_first("location")).rowsBetween(W.unboundedPreceding, -1)
-    d = d.withColumn("earlier", F.last("loc", ignorenulls=True).over(w))
+    d = before(d, ["client", "title"], ["job_id", "location"], {"earlier": "loc"}, id_place(F.col("job_id")), real=True)
     return d.where("loc is null and earlier is not null").select("job_id", "location", F.col("earlier").alias("filled"))
 
 
@@ -112,8 +111,8 @@ def identity_hash(spark, folder):
 def ttl_duplicates(spark, folder):
     """Repetitions within a day of the one before."""
     e = events(spark, folder).select("user_id", "event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms")).distinct()
-    gap = F.col("ms") - F.lag("ms").over(W.partitionBy("user_id", "event_type").orderBy("ms"))
-    return e.withColumn("gap", gap).groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("gap") <= 86_400_000).alias("within_day"))
+    e = before(e, ["user_id", "event_type"], ["ms"], {"last": "ms"})
+    return e.withColumn("gap", F.col("ms") - F.col("last")).groupBy("event_type").agg(F.count("*").alias("n"), F.count_if(F.col("gap") <= 86_400_000).alias("within_day"))
 
 
 @query("duplicate_ids", "SELECT client_jd_id, count(*) AS cnt, min(job_id) AS kept FROM metaforge_requirements WHERE client_jd_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1")
@@ -152,8 +151,7 @@ def neighbour_similarity(spark, folder):
 
     d = demands(spark, folder).where("requirement_from is not null and location is not null and job_title is not null and job_id is not null and mandatory_skills is not null")
     d = d.select("job_id", normal_form(F.col("requirement_from")).alias("client"), normal_form(F.col("location")).alias("city"), normal_form(F.col("job_title")).alias("title"), "mandatory_skills").distinct()
-    w = W.partitionBy("client", "city").orderBy("job_id", "title", "mandatory_skills")
-    d = d.withColumn("t2", F.lag("title").over(w)).withColumn("s2", F.lag("mandatory_skills").over(w)).where("t2 is not null")
+    d = before(d, ["client", "city"], ["job_id", "title", "mandatory_skills"], {"t2": "title", "s2": "mandatory_skills"}, id_place(F.col("job_id"))).where("t2 is not null")
     share = lambda a, b: F.round(F.coalesce(X.jaccard(a, b), F.lit(0.0)), 4)
     edit = F.round(1 - F.levenshtein("title", "t2") / F.greatest(F.length("title"), F.length("t2"), F.lit(1)), 4)
     return d.select("job_id", share(X.words(F.col("title")), X.words(F.col("t2"))).alias("title_jaccard"), edit.alias("title_edit"), share(X.tokens(F.col("mandatory_skills")), X.tokens(F.col("s2"))).alias("skills_jaccard"))

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestream.operators.alerts import DAY_MS, cooled, in_window
+from lodestream.operators.slices import before
 from lodestream.plans.base import query
 from lodestream.plans.matching import demands, events, mails, stored, versions
 from lodestream.plans.texts import LOWER
@@ -95,7 +95,7 @@ def failure_windows(spark, folder):
 def staleness_gaps(spark, folder):
     """How often a feed was silent for more than a day."""
     m = mails(spark, folder).select("mailbox_zone", F.unix_millis("fetched_at").alias("ms")).distinct()
-    m = m.withColumn("gap", F.col("ms") - F.lag("ms").over(W.partitionBy("mailbox_zone").orderBy("ms")))
+    m = before(m, ["mailbox_zone"], ["ms"], {"last": "ms"}).withColumn("gap", F.col("ms") - F.col("last"))
     return m.groupBy("mailbox_zone").agg(F.count("*").alias("ticks"), F.count_if(F.col("gap") > DAY_MS).alias("stale"), F.max("gap").alias("longest"))
 
 

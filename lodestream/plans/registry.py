@@ -11,6 +11,7 @@ from lodestream.plans.units_sql import P1_SQL
 query("p1_found", P1_SQL)(units.p1_found)
 query("p4_found", P4_SQL)(history.p4_found)
 query("p6_found", P6_SQL)(timestamps.p6_found)
+query("p6_zones")(timestamps.p6_zones)
 
 
 def queries() -> dict[str, Query]:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestream.operators import store as S
+from lodestream.operators.slices import before
 from lodestream.plans.base import query
 from lodestream.plans.matching import demands, events, stored, versions
 from lodestream.plans.texts import LOWER
@@ -23,8 +23,7 @@ def field_diffs(spark, folder):
     """What each version changed against the one before it."""
     fields = F.create_map(*[x for f in _FIELDS for x in (F.lit(f), F.get_json_object("payload_json", f"$.{f}"))])
     v = versions(spark, folder).where(F.try_parse_json("payload_json").isNotNull()).select("requirement_id", "version_number", "payload_json").distinct()
-    before = F.lag("payload_json").over(W.partitionBy("requirement_id").orderBy("version_number", "payload_json"))
-    v = v.withColumn("old_json", before).where("old_json is not null").withColumn("n", fields)
+    v = before(v, ["requirement_id"], ["version_number", "payload_json"], {"old_json": "payload_json"}).where("old_json is not null").withColumn("n", fields)
     v = v.withColumn("o", F.create_map(*[x for f in _FIELDS for x in (F.lit(f), F.get_json_object("old_json", f"$.{f}"))]))
     v = v.select("requirement_id", "version_number", F.explode(S.field_changes(F.col("o"), F.col("n"))).alias("field", "c"))
     return v.select("requirement_id", "version_number", "field", F.col("c.old").alias("old_value"), F.col("c.new").alias("new_value"))
@@ -71,7 +70,8 @@ def version_lists(spark, folder):
 )
 def status_transitions(spark, folder):
     """Changes of state per entity."""
-    e = events(spark, folder).withColumn("before", F.lag("event_type").over(W.partitionBy("user_id").orderBy("ts", "event_id")))
+    e = events(spark, folder).select("user_id", "event_type", "event_id", "ts")
+    e = before(e, ["user_id"], ["ts", "event_id"], {"before": "event_type"}, F.unix_micros(F.col("ts").cast("timestamp")))
     return e.where("before is not null and before <> event_type").groupBy(F.col("before").alias("from_status"), F.col("event_type").alias("to_status")).agg(F.count("*").alias("n"))
 
 

@@ -2,10 +2,11 @@
 
 from collections import defaultdict
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from lodestream.operators.history import ChainStore, build_chains, rebuild_affected
+from lodestream.operators.history import ChainStore, Conflict, build_chains, rebuild_affected
 
 SCHEMA = "entity string, field string, value string, at_ms long"
 change = st.tuples(st.sampled_from("ab"), st.sampled_from("xy"), st.sampled_from(["1", "2", "3", None]), st.one_of(st.none(), st.integers(0, 40)))
@@ -30,7 +31,7 @@ def plain(rows):
 @given(st.lists(change, max_size=40))
 def test_chains(spark, rows):
     df = spark.createDataFrame(rows, SCHEMA)
-    got = [tuple(r) for r in build_chains(df, slice_ms=7).collect()]  # many slices
+    got = [tuple(r) for r in build_chains(df, most=3).collect()]  # many slices
     assert len(got) == len(set(got)) and set(got) == plain(rows)
 
 
@@ -51,3 +52,41 @@ def test_late_changes_rebuild_only_their_entities(spark, tmp_path):
     assert first != second
     assert {tuple(r) for r in store.current().collect()} == plain(base + late)
     assert {tuple(r) for r in old.collect()} == plain(base)  # a reader of the old snapshot is undisturbed
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    base = [(f"e{k}", "x", str(k), 10) for k in range(40)]
+    store = ChainStore(spark, f"file://{tmp_path}/chains", buckets=8)
+    store.apply(spark.createDataFrame(base, SCHEMA), spark.createDataFrame(base, SCHEMA))
+    _, before = store.manifest()
+    late = [("e3", "x", "new", 20)]
+    store.apply(spark.createDataFrame(base + late, SCHEMA), spark.createDataFrame(late, SCHEMA))
+    _, after = store.manifest()
+    assert len(before) == len(after) == 8 and sum(before[b] != after[b] for b in before) == 1
+    assert {tuple(r) for r in store.current().collect()} == plain(base + late)
+
+
+def test_two_writers(spark, tmp_path):
+    """Of two updates from one manifest the second is refused, and apply() starts again."""
+    base = [("a", "x", "1", 10)]
+    store = ChainStore(spark, f"file://{tmp_path}/chains")
+    store.apply(spark.createDataFrame(base, SCHEMA), spark.createDataFrame(base, SCHEMA))
+    number, folders = store.manifest()
+    assert store.publish(folders, number) == number + 1
+    with pytest.raises(Conflict):
+        store.publish(folders, number)
+    assert store.numbers()[-1] == number + 1
+    late = [("a", "x", "2", 20)]
+    store.apply(spark.createDataFrame(base + late, SCHEMA), spark.createDataFrame(late, SCHEMA))
+    assert {tuple(r) for r in store.current().collect()} == plain(base + late)
+
+
+def test_old_snapshots_are_removed(spark, tmp_path):
+    rows = []
+    store = ChainStore(spark, f"file://{tmp_path}/chains", buckets=2, keep=2)
+    for k in range(5):
+        rows.append(("a", "x", str(k), k))
+        store.apply(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(rows[-1:], SCHEMA))
+    assert store.numbers() == [4, 5]
+    assert len([p for p in (tmp_path / "chains").glob("data-*/bucket=*")]) <= 4
+    assert {tuple(r) for r in store.current().collect()} == plain(rows)

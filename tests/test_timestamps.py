@@ -74,7 +74,29 @@ def test_missing_zones_are_estimated(spark):
             at = datetime(2025, 9, 1, 3, 7, tzinfo=timezone.utc) + timedelta(days=6 * k)
             rows.append((feed, at.astimezone(ZoneInfo(zone)).strftime("%Y-%m-%d %H:%M:%S"), round(at.timestamp() * 1000) + 60_000 * (k % 9), round(at.timestamp() * 1000)))
     df = spark.createDataFrame(rows, "feed string, t string, seen long, truth long")
-    zones = {r["feed"]: r["zone"] for r in estimate_zones(df, "feed", "t", F.col("seen")).collect()}
+    zones = {r["feed"]: r["zone"] for r in estimate_zones(df, "feed", "t", F.col("seen")).collect() if r["feed"]}
     assert zones == {"a": "Asia/Kolkata", "b": "America/New_York", "c": "Europe/Berlin"}
     out = to_utc(df, "t", F.lit(None).cast("string"), seen_ms=F.col("seen"), feed="feed").collect()
     assert len(out) == len(rows) and all(r["utc_ms"] == r["truth"] for r in out)
+
+
+def test_small_feeds_and_feeds_without_evidence(spark):
+    """A feed of one time is decided by it, one without usable times gets the zone of all, nothing is dropped."""
+    at = datetime(2025, 9, 1, 12, 0, tzinfo=timezone.utc)
+    seen = round(at.timestamp() * 1000) + 60_000
+    local = at.astimezone(ZoneInfo("Asia/Kolkata")).strftime("%Y-%m-%d %H:%M:%S")
+    rows = [("a", local, seen), ("b", "2025-09-01 12:00:00", seen), ("c", local, None), (None, local, seen), ("a", local, seen)]
+    df = spark.createDataFrame(rows, "feed string, t string, seen long")
+    got = sorted((r["feed"] or "", r["utc_ms"]) for r in to_utc(df, "t", F.lit(None).cast("string"), seen_ms=F.col("seen"), feed="feed").collect())
+    truth = round(at.timestamp() * 1000)
+    assert got == [("", truth), ("a", truth), ("a", truth), ("b", truth), ("c", truth)]
+    none = to_utc(df.where("feed = 'c'"), "t", F.lit(None).cast("string"), seen_ms=F.col("seen"), feed="feed", fallback="UTC").collect()
+    assert [r["utc_ms"] for r in none] == [truth + 19_800_000]
+
+
+def test_withheld_zones_are_found(spark, sf):
+    """The estimate against the stated zones of all mailboxes: the share of times in mailboxes that it finds."""
+    from lodestream.operators.timestamps import p6_zones
+
+    rows = p6_zones(spark, sf).collect()
+    assert sum(r["n"] for r in rows if r["zone"] == r["stated_zone"]) >= 0.9 * sum(r["n"] for r in rows)
