@@ -4,7 +4,8 @@ A text is split by the tokenizer's public pattern; each distinct piece is encode
 Pieces become rows of padded matrices, bucketed by length. In each round every row merges
 its leftmost pair of minimum rank: the pair's rank comes from a hash table in two arrays,
 the merged column is cut out of all rows at once (compaction), and rows without a pair
-left leave the matrix.
+left leave the matrix. Rows of more than WIDE bytes merge the pair wherever it stands in the
+row in the same round, which gives the same ids, as a merge makes pairs of higher rank only.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import numpy as np
 
 _NONE = np.int32(2**31 - 1)
 #: Rows longer than this merge all occurrences of their minimum pair in a round.
-LONG = 96
+WIDE = 96
 #: Distinct pieces that a worker remembers before it starts afresh (about 200 bytes each).
 REMEMBERED = 400_000
 
@@ -149,21 +150,36 @@ class Encoder:
             out[who, : m.shape[1]] = m
         return out[out >= 0], sizes
 
-    def _long(self, row: np.ndarray) -> np.ndarray:
-        """Merge one long row: all occurrences of its minimum pair in a round, from the left.
-        A merge makes pairs of higher ranks only, so the result is that of one at a time."""
-        while len(row) > 1:
-            r = self.rank(row[:-1], row[1:])
-            low = r.min()
-            if low == _NONE:
+    def _wide_bucket(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """_bucket() for wide rows: a round merges all occurrences of each row's minimum pair, of
+        overlapping ones from the left every second; then all rows are compacted."""
+        n = len(rows)
+        done_ids: list[np.ndarray] = [np.zeros(0, np.int32)] * n
+        m, who = rows, np.arange(n)
+        while len(m):
+            r = self.rank(m[:, :-1].ravel(), m[:, 1:].ravel()).reshape(len(m), m.shape[1] - 1)
+            low = r.min(1, initial=_NONE)
+            for k in np.flatnonzero(low == _NONE):
+                done_ids[who[k]] = m[k][m[k] >= 0]
+            keep = low != _NONE
+            m, r, who, low = m[keep], r[keep], who[keep], low[keep]
+            if not len(m):
                 break
-            at = np.flatnonzero(r == low)
-            run = np.flatnonzero(np.diff(at, prepend=-2) != 1)  # of overlapping hits every second stands
-            start = np.repeat(at[run], np.diff(np.append(run, len(at))))
-            at = at[(at - start) % 2 == 0]
-            row[at] = self.merged[low]
-            row = np.delete(row, at + 1)
-        return row
+            i, j = np.nonzero(r == low[:, None])
+            begins = np.ones(len(i), bool)
+            begins[1:] = (i[1:] != i[:-1]) | (j[1:] != j[:-1] + 1)
+            start = j[np.flatnonzero(begins)[np.cumsum(begins) - 1]]
+            second = (j - start) % 2 == 0
+            i, j = i[second], j[second]
+            m[i, j] = self.merged[low[i]]
+            stay = m >= 0
+            stay[i, j + 1] = False
+            sizes = stay.sum(1)
+            to, at = np.nonzero(stay)
+            fresh = np.full((len(m), max(1, int(sizes.max()))), -1, np.int32)
+            fresh[to, ragged(np.zeros(len(m), np.int64), sizes)] = m[to, at]
+            m = fresh
+        return np.concatenate(done_ids), np.fromiter(map(len, done_ids), np.int64, n)
 
     def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces end to end, and their sizes."""
@@ -182,19 +198,17 @@ class Encoder:
         ids = self.of_byte[flat]
         counts = np.zeros(len(begin), np.int64)
         parts, order = [], []
-        for k in np.flatnonzero(size > LONG):
-            done = self._long(ids[begin[k] : begin[k] + size[k]].copy())
-            parts.append(done)
-            order.append(np.array([k]))
-            counts[k] = len(done)
-        edges = [0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, LONG]
+        edges = [0, 1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, WIDE]
+        while edges[-1] < size.max(initial=0):
+            edges.append(edges[-1] * 2)
         for lo, hi in zip(edges, edges[1:]):
             rows = np.flatnonzero((size > lo) & (size <= hi))
             for part in np.array_split(rows, max(1, len(rows) * hi // 400_000)) if len(rows) else ():
-                grid = begin[part][:, None] + np.arange(hi)
-                inside = np.arange(hi) < size[part][:, None]
+                width = int(size[part].max())
+                grid = begin[part][:, None] + np.arange(width)
+                inside = np.arange(width) < size[part][:, None]
                 m = np.where(inside, ids[np.minimum(grid, len(ids) - 1)], np.int32(-1))
-                done, n = self._bucket(m)
+                done, n = self._wide_bucket(m) if hi > WIDE else self._bucket(m)
                 parts.append(done)
                 order.append(part)
                 counts[part] = n

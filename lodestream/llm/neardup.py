@@ -29,7 +29,7 @@ BITMAP = 512
 #: Sets of one item that meet in one place; a more frequent item is split.
 BLOCK = 50_000
 #: Items of all sets for each part of the join.
-ENTRIES = 5_000_000
+ENTRIES = 1_500_000
 #: Pairs that are looked at together.
 PAIRS = 400_000
 
@@ -73,7 +73,7 @@ _FIRST = 4
 def with_prefixes(entries: DataFrame, threshold: float, parts: int) -> DataFrame:
     """One row for each class of entries (class_id, n, item, sets) and each part that holds items of
     its prefix: those items, their positions and flags, the set's size, how many of its items
-    other sets hold too, 512 parities of these, and its group (equal prefix and size).
+    other sets hold too, BITMAP parities of these, and its group (equal prefix and size).
 
     ``entries`` has the items that several sets hold; what a set has beyond them comes first in its
     order and can't meet anything. An item of more than BLOCK sets is split into 2^k blocks of
@@ -240,7 +240,8 @@ def similar_classes(rows: DataFrame, threshold: float) -> DataFrame:
     held = items.agg(F.sum("sets")).first()[0] or 0
     parts = max(rows.sparkSession.sparkContext.defaultParallelism, held // ENTRIES)
     entries = with_prefixes(entries_of(rows).join(items, "item"), threshold, parts)
-    candidates = cut(entries.groupBy("part").applyInArrow(lambda t: matched(t, threshold), "a long, b long").distinct())
+    # the number of parts stands, as their work is more than their bytes tell
+    candidates = cut(entries.repartition(parts, "part").groupBy("part").applyInArrow(lambda t: matched(t, threshold), "a long, b long").distinct())
     # exact, on the sets themselves
     some = candidates.select(F.explode(F.array("a", "b")).alias("class_id")).distinct()
     sets = rows.select("class_id", "items").join(some, "class_id", "left_semi").groupBy("class_id").agg(F.first("items").alias("items"))

@@ -316,8 +316,9 @@ def segmented(mails: DataFrame) -> DataFrame:
                     for blind in (False, True)[: 1 + sampled]:
                         blocks, sums = blocks_of(parse(body, None, sender, name) if blind else parsed)
                         all_sums += sums
+                        told = [[r[0] for r in b if not r[4] or r[1].strip(">| ")] for b in blocks]  # marks alone are no text
                         rows.append((
-                            graph_id, who, blind, sampled, opens or parent is not None, [r[0] for b in blocks for r in b], [len(b) for b in blocks], [0 if b[0][2] else len(b) for b in blocks],
+                            graph_id, who, blind, sampled, opens or parent is not None, [no for x in told for no in x], [len(x) for x in told], [0 if b[0][2] else len(b) for b in blocks],
                             [hashed(r[1]) for b in blocks if not b[0][2] for r in b], *([sum(r[0] in lines for r in b) / _told(b) for b in blocks] if sampled else None for lines in (run, held)),
                         ))
                 made = [pa.array(c, _KINDS[k]) for c, (_, k) in zip(zip(*rows), _COLUMNS)] if rows else [pa.array([], _KINDS[k]) for _, k in _COLUMNS[:-1]]
@@ -413,16 +414,18 @@ def labels_of(b: _Blocks, known: np.ndarray, truth: np.ndarray, loose: np.ndarra
         return np.zeros(0, np.int64)
     first, end = np.searchsorted(b.mail, b.mail), np.searchsorted(b.mail, b.mail, "right")
     begun = b.x[:, FEATURES.index("begun")] > 0
-    met = np.append(0, np.cumsum(loose > 0))
+    met = np.append(0, np.cumsum(truth > 0))
     here = np.arange(len(b.mail))
     apart = (met[here] == met[first]) | (met[end] == met[here + 1])  # not inside the ancestor's text
     hashed_ = np.bincount(b.block, minlength=len(b.mail))
     share = _looked_up(b.lines, late[0], 1 + late[1])  # 0: not seen in signed mails
     all_ = lambda which: (hashed_ > 0) & (np.bincount(b.block, which, len(b.mail)) == hashed_)
     # mails without the signature that their sender has; of common lines only those that begin mails
+    begins = all_((share > 0) & (share < 1.2))
     early = b.signs[b.mail] & all_(np.where(share > 0, share < 1.2, b.spread == 0))
     label = np.full(len(b.mail), -1)
-    label[(b.signed[b.mail] | early) & ~begun & apart & known[b.mail] & (loose == 0)] = 1
+    # an ancestor that begins with the same common line is no evidence
+    label[(b.signed[b.mail] | early) & ~begun & apart & known[b.mail] & ((loose == 0) | begins)] = 1
     label[all_(share > 1.5)] = 0
     label[b.anchor | begun | (truth >= 0.5)] = 0
     return label

@@ -187,7 +187,7 @@ def pack(items: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
     items = cut(items.where(F.col(key).isNotNull()).select(F.col(key).alias("k"), F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("n")))
     rest = F.col("n") % capacity
     # at most ``capacity`` rows, one for each size
-    found = items.groupBy(rest.alias("s")).agg(F.count("*").alias("c"), F.sum(F.floor(F.col("n") / capacity)).alias("full"), F.count_if(F.col("n") == 0).alias("empty")).collect()
+    found = items.groupBy(rest.alias("s")).agg(F.count("*").alias("c"), F.sum(F.floor(F.col("n") / capacity)).alias("full"), F.count_if(F.col("n") >= capacity).alias("large")).collect()
     counts = {r["s"]: r["c"] for r in found if r["s"]}
     fulls = sum(r["full"] or 0 for r in found)
     made = plan(counts, capacity)
@@ -212,7 +212,7 @@ def pack(items: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
     out = ends.select("k", "n", "s", "i").mapInArrow(look_up, f"`{key}` {kind}, part_no long, part_tokens long, container_id long")
     whole = items.where(F.col("n") >= capacity).select("k", F.floor(F.col("n") / capacity).alias("m"))
     if fulls:
-        whole = number_runs(whole, "k", "m", "first")
+        whole = number_runs(whole, "k", "m", "first", sum(r["large"] for r in found))
         whole = whole.select(F.col("k").alias(key), F.explode(F.sequence(F.lit(1).cast("bigint"), "m")).alias("part_no"), "first")
         out = out.unionByName(whole.select(key, "part_no", F.lit(capacity).cast("bigint").alias("part_tokens"), (F.col("first") + F.col("part_no") + containers).alias("container_id")))
     spread = F.pmod(F.xxhash64("k"), F.lit(max(1, big))) + 1
@@ -220,8 +220,10 @@ def pack(items: DataFrame, key: str, size: str, capacity: int) -> DataFrame:
     return out.unionByName(none)
 
 
-def number_runs(df: DataFrame, key: str, length: str, out: str, buckets: int = 256) -> DataFrame:
-    """df with bigint ``out``: the summed ``length`` of the rows before, in no given order."""
+def number_runs(df: DataFrame, key: str, length: str, out: str, total: int, most: int = NUMBERED) -> DataFrame:
+    """df of ``total`` rows with bigint ``out``: the summed ``length`` of the rows before, in no given
+    order; buckets of about ``most`` rows are summed each on its own, as in number_within()."""
+    buckets = max(16, -(-total // most))
     df = df.withColumn("__bucket", F.pmod(F.xxhash64(key), F.lit(buckets)))
     shift = df.groupBy("__bucket").agg(F.sum(length).alias("__n"))
     shift = shift.withColumn("__shift", F.coalesce(F.sum("__n").over(W.orderBy("__bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).drop("__n")

@@ -127,9 +127,25 @@ def split_texts(enc: Encoder, texts: list[str | None], most: int, overlap: int)
     character); ends tile the text. n_tokens is what the piece's own text encodes to,
     which is at most ``most``, as is the span. Null and empty texts have no piece.
     """
-    room = most - overlap - 4  # 4: a piece may begin inside a word, which then takes more tokens
-    if overlap < 0 or room < 1:
+    if overlap < 0 or most - overlap < 5:
         raise ValueError("the limit must exceed the overlap by 5 or more")
+    out: list[list[Piece] | None] = [None] * len(texts)
+    left, reserve = list(range(len(texts))), 4
+    while left:
+        # a piece may begin inside a word, which then takes more tokens: texts with a piece that
+        # doesn't fit are split again with twice the reserve
+        room = most - overlap - reserve
+        made = _split_once(enc, [texts[k] for k in left], most, overlap, room)
+        last = room < 2 * reserve + 1
+        for k, pieces in zip(left, made):
+            if last or all(p[4] <= most for p in pieces):
+                out[k] = [q for p in pieces for q in (_halved(enc, texts[k], p, most, overlap) if p[4] > most else [p])]
+        left, reserve = [k for k in left if out[k] is None], reserve * 2
+    return out
+
+
+def _split_once(enc: Encoder, texts: list[str | None], most: int, overlap: int, room: int) -> list[list[Piece]]:
+    """Pieces of each text with at most ``room`` tokens beside the overlap, and what they encode to."""
     split = [enc.pieces(t) if t else [] for t in texts]
     enc.learn([w for words in split for w in words])
     spans: list[list[list[int]]] = []
@@ -140,12 +156,11 @@ def split_texts(enc: Encoder, texts: list[str | None], most: int, overlap: int)
         edges += ends
     n = enc.count(edges).tolist()
     out, k = [], 0
-    for text, made in zip(texts, spans):
+    for made in spans:
         rows: list[Piece] = []
         for *span, edged, known in made:
-            size = known + sum(n[k : k + edged])
+            rows.append((*span, known + sum(n[k : k + edged])))
             k += edged
-            rows += _halved(enc, text, (*span, size), most, overlap) if size > most else [(*span, size)]
         out.append(rows)
     return out
 
@@ -186,12 +201,13 @@ def _spans(enc: Encoder, text: str, words: list[str], most: int, overlap: int, r
 
 
 def _halved(enc: Encoder, text: str, piece: Piece, most: int, overlap: int) -> list[Piece]:
-    """A piece whose own text encodes to more than ``most``, as two; rare."""
-    a, b, s, e, n = piece
+    """A piece that doesn't fit whatever the reserve, as two; only limits near the overlap need it."""
+    a, b, s, e, _ = piece
     middle = (a + b) // 2
     at = enc.count([text[a:middle], text[middle:b]]).tolist()
     t = min(e, s + at[0])
-    return [(a, middle, s, t, at[0]), (middle, b, t, e, at[1])] if max(at) <= most else [*_halved(enc, text, (a, middle, s, t, at[0]), most, overlap), *_halved(enc, text, (middle, b, t, e, at[1]), most, overlap)]
+    halves = [(a, middle, s, t, at[0]), (middle, b, t, e, at[1])]
+    return [q for h in halves for q in (_halved(enc, text, h, most, overlap) if h[4] > most and h[1] - h[0] > 1 else [h])]
 
 
 def _back(enc: Encoder, words: list[str], ends_c: np.ndarray, ends_t: np.ndarray, first: int, overlap: int) -> tuple[int, int, int]:
