@@ -281,14 +281,38 @@ VALUES = [
 
 def test_values(spark):
     df = spark.createDataFrame([(k, v) for k, v, _ in VALUES] * 2 + [(None, "Pune"), ("location", None)], "kind string, value string")
+    entries = spark.createDataFrame([(e, k, n, a) for k, names in NAMES.items() for e, n, a in names] + [(None, "client", "x", None), (99, "client", None, ["y"])], "entry_id long, kind string, name string, aliases array<string>")
     got = defaultdict(list)
-    for r in canonical.map_values(df, NAMES).collect():
+    for r in canonical.map_values(df, entries).collect():
         got[r["kind"], r["value"]].append(r["entry_ids"])
     for kind, value, want in VALUES:
         assert got[kind, value] == [want], (kind, value[:40], got[kind, value])
-    assert canonical.map_values(df.limit(0), NAMES).count() == 0
+    assert canonical.map_values(df.limit(0), entries).count() == 0
 
 
 def test_distance():
     for a, b, d in [("abc", "abc", 0), ("abc", "acb", 1), ("abc", "ab", 1), ("abcd", "xbcy", 2), ("", "ab", 2), ("abcdef", "uvwxyz", 3)]:
         assert canonical.distance(a, b, 2) == d
+
+
+def test_deletions_meet_for_all_near_words():
+    """Words within the allowed edits share a key, swaps and ends included."""
+    rng = random.Random(6)
+    pairs = []
+    for _ in range(600):
+        w = "".join(rng.choice("abcde") for _ in range(rng.randint(3, 13)))
+        t = list(w)
+        for _ in range(rng.randint(0, canonical.edits(len(w)))):
+            at = rng.randrange(len(t))
+            what = rng.randrange(4)
+            if what == 0 and at:
+                t[at - 1], t[at] = t[at], t[at - 1]
+            elif what == 1:
+                t[at] = rng.choice("abcde")
+            elif what == 2 and len(t) > 2:
+                del t[at]
+            else:
+                t.insert(at, rng.choice("abcde"))
+        pairs.append((w, "".join(t), canonical.edits(len(w))))
+    near = [(w, t, k) for w, t, k in pairs if canonical.distance(w, t, k) <= k]
+    assert len(near) > 400 and all(canonical.deletions(w, k) & canonical.deletions(t, k) for w, t, k in near)
