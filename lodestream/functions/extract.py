@@ -95,12 +95,15 @@ def weighted(pairs: list[tuple[float, Column]]) -> Column:
     return F.when(have > 0, total / have)
 
 
+#: Years that an open end ('8+') reaches beyond its beginning.
+OPEN_YEARS = 4
+
+
 def overlap(low1: Column, high1: Column, low2: Column, high2: Column) -> Column:
-    """How far two ranges agree: 1 where they begin alike, a share where they overlap, 0.5
-    where at most 1 lies between them, else 0; an open end is low + 5, 15 at least."""
-    end = lambda low, high: F.coalesce(high, F.greatest(low + 5, F.lit(15.0)))
+    """Jaccard similarity of two ranges of whole years, both ends included; an open end reaches
+    OPEN_YEARS on. Null where a beginning is missing."""
+    end = lambda low, high: F.greatest(low, F.coalesce(high, low + OPEN_YEARS))
     e1, e2 = end(low1, high1), end(low2, high2)
-    inside = F.least(e1, e2) - F.greatest(low1, low2)
-    shorter = F.least(e1 - low1, e2 - low2)
-    score = F.when(low1 == low2, 1.0).when(inside >= 0, F.least(F.lit(1.0), (inside + 1) / (shorter + 1))).when(inside >= -1, 0.5).otherwise(0.0)
-    return F.when(low1.isNotNull() & low2.isNotNull(), score)
+    common = F.least(e1, e2) - F.greatest(low1, low2) + 1
+    whole = F.greatest(e1, e2) - F.least(low1, low2) + 1
+    return F.when(low1.isNotNull() & low2.isNotNull(), F.greatest(F.lit(0.0), common / whole))

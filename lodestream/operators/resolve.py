@@ -32,15 +32,18 @@ def identity(client: Column, client_id: Column, *content: Column) -> Column:
     return F.when(F.trim(client_id) != "", F.concat_ws(":", key, F.lit("cjd"), F.trim(client_id))).otherwise(F.concat_ws(":", key, F.lit("hash"), digest))
 
 
+NUMERAL = "^([0-9]+|i{1,3}|iv|v)$"
+
+
 def title_score(a: Column, b: Column) -> Column:
-    """Similarity of two titles: edit distance and words; halved where their numbers differ,
-    averaged where they have different numbers of words, else the better of both."""
+    """Similarity of two titles, the mean of their edit similarity and the Jaccard similarity of
+    their words; words count for nothing where the titles' numerals differ."""
     longest = F.greatest(F.length(a), F.length(b))
     edit = F.when(longest > 0, 1 - F.levenshtein(a, b) / longest)
     wa, wb = X.words(a), X.words(b)
-    words = F.coalesce(X.jaccard(wa, wb), F.lit(0.0))
-    numbers = lambda w: F.array_sort(F.filter(w, lambda x: x.rlike("^([0-9]+|i{1,3}|iv|v)$")))
-    return F.when(numbers(wa) != numbers(wb), F.least(edit, words) * 0.5).when(F.size(wa) != F.size(wb), (edit + words) / 2).otherwise(F.greatest(edit, words))
+    numerals = lambda w: F.array_sort(F.filter(w, lambda x: x.rlike(NUMERAL)))
+    words = F.when(numerals(wa) == numerals(wb), F.coalesce(X.jaccard(wa, wb), F.lit(0.0))).otherwise(0.0)
+    return (edit + words) / 2
 
 
 def score_neighbours(rows: DataFrame, block: list[str], order: list[str], title: str, skills: str, experience: str) -> DataFrame:
@@ -89,9 +92,10 @@ def jaccard_prefix(n: Column, threshold: float) -> Column:
 
 
 #: A pair of score POSSIBLE needs this similarity of skills where both sides have some (title and
-#: experience 1), and this one of titles where the skills don't count.
+#: experience 1); where the skills don't count, this one of titles, and so this one of their words.
 LEAST_SKILLS = (POSSIBLE - TITLE - EXPERIENCE) / SKILLS - 1e-5
 LEAST_TITLE = (POSSIBLE * (TITLE + EXPERIENCE) - EXPERIENCE) / TITLE - 1e-5
+LEAST_WORDS = 2 * LEAST_TITLE - 1
 
 
 def score_candidates(rows: DataFrame) -> DataFrame:
@@ -103,8 +107,8 @@ def score_candidates(rows: DataFrame) -> DataFrame:
     without client or title are left out. The same id decides for DUPLICATE, two different
     ids or cities against it, else the weighted score. ``score`` and ``candidate`` are null
     under POSSIBLE. Distinct profiles meet on the rarest of their skills, as many as the
-    least score needs; where a side has no skills to compare, the client's titles of like
-    length or with a common word meet.
+    least score needs; where a side has no skills to compare, on the rarest words of
+    their titles.
     """
     rows = rows.where("job_id is not null and client is not null and title <> ''").withColumn("client_jd_id", F.nullif(F.trim("client_jd_id"), F.lit(""))).distinct()
     fields = ["client", "city", "client_jd_id", "title", "skills", "experience"]
@@ -129,13 +133,13 @@ def score_candidates(rows: DataFrame) -> DataFrame:
     entries = prefix_entries(some, "pid", "client", F.col("tokens"), jaccard_prefix(F.size("tokens"), LEAST_SKILLS))
     entries = cut(entries.drop("client").join(profiles.select(*kept), "pid"))
     pairs = in_city(entries, entries, ["client", "item"], F.lit(True))
-    # without skills on a side, or with none to compare on both, the titles decide
-    longer, shorter = (f(F.length("a.title"), F.length("b.title")) for f in (F.greatest, F.least))
-    alike = (shorter >= longer * LEAST_TITLE) | F.arrays_overlap(X.words(F.col("a.title")), X.words(F.col("b.title")))
-    titled = profiles.select(*kept, "title", "tokens")
+    # without skills on a side, or with none to compare on both, the titles decide; they must share
+    # a word, one of as many of their rarest as the least similarity needs
+    named = X.words(F.col("title"))
+    titled = cut(prefix_entries(profiles, "pid", "client", named, jaccard_prefix(F.size(named), LEAST_WORDS)).drop("client").join(profiles.select(*kept, "tokens"), "pid"))
     bare, none, full = titled.where("tokens is null"), titled.where(F.size("tokens") == 0), titled.where("tokens is not null")
     for a, b in ((bare, titled), (full, bare), (none, none)):
-        pairs += in_city(a, b, ["client"], alike)
+        pairs += in_city(a, b, ["client", "item"], F.lit(True))
     pairs = cut(reduce(DataFrame.unionByName, pairs).distinct())
 
     side = lambda x: profiles.select(F.col("pid").alias(f"p{x}"), F.col("title").alias(f"title_{x}"), F.col("tokens").alias(f"tokens_{x}"), X.number_range(F.col("experience")).alias(f"years_{x}"), F.col("first").alias(f"first_{x}"))

@@ -81,5 +81,5 @@ def numbered(rows: DataFrame, keys: list[str], order: list[str], out: str, place
 
 
 def id_place(c: Column) -> Column:
-    """A number that rises with an id of the form YYYY/MM/DD-N: its day."""
-    return F.unix_date(F.try_to_date(F.substring(c, 1, 10), "yyyy/MM/dd"))
+    """A number that rises with an id that holds its day, as YYYY/MM/DD-N or REQ-YYYYMMDD-N."""
+    return F.substring(F.regexp_replace(c, "[^0-9]", ""), 1, 8).try_cast("int")

@@ -171,10 +171,10 @@ _DECISIONS = f"""WITH d AS (SELECT DISTINCT job_id, {NORM.format('requirement_fr
     l AS (SELECT job_id, title, lag(title) OVER w AS t2, s, lag(s) OVER w AS s2, e, lag(e) OVER w AS e2 FROM d WHERE client IS NOT NULL AND title IS NOT NULL WINDOW w AS (PARTITION BY client, city ORDER BY job_id, title, s NULLS FIRST)),
     f AS (SELECT job_id, t2, CASE WHEN greatest(length(title), length(t2)) > 0 THEN 1 - levenshtein(title, t2) / greatest(length(title), length(t2)) END AS edit, {_WORDS.format('title')} AS wa, {_WORDS.format('t2')} AS wb, {_TOKENS.format('s')} AS a, {_TOKENS.format('s2')} AS b,
         {_range_sql('e')[0]} AS l1, {_range_sql('e')[1]} AS h1, {_range_sql('e2')[0]} AS l2, {_range_sql('e2')[1]} AS h2 FROM l),
-    g AS (SELECT *, coalesce(len(list_intersect(wa, wb)) / nullif(len(list_distinct(list_concat(wa, wb))), 0), 0) AS words, coalesce(h1, greatest(l1 + 5, 15)) AS e1, coalesce(h2, greatest(l2 + 5, 15)) AS e2 FROM f),
-    h AS (SELECT job_id, t2, CASE WHEN {_NUMERIC.format('wa')} <> {_NUMERIC.format('wb')} THEN least(edit, words) * 0.5 WHEN len(wa) <> len(wb) THEN (edit + words) / 2 ELSE greatest(edit, words) END AS ts,
+    g AS (SELECT *, coalesce(len(list_intersect(wa, wb)) / nullif(len(list_distinct(list_concat(wa, wb))), 0), 0) AS words, greatest(l1, coalesce(h1, l1 + {X.OPEN_YEARS})) AS e1, greatest(l2, coalesce(h2, l2 + {X.OPEN_YEARS})) AS e2 FROM f),
+    h AS (SELECT job_id, t2, (edit + CASE WHEN {_NUMERIC.format('wa')} = {_NUMERIC.format('wb')} THEN words ELSE 0 END) / 2 AS ts,
         CASE WHEN a IS NOT NULL AND b IS NOT NULL THEN len(list_intersect(a, b)) / nullif(len(list_distinct(list_concat(a, b))), 0) END AS ss,
-        CASE WHEN l1 IS NOT NULL AND l2 IS NOT NULL THEN CASE WHEN l1 = l2 THEN 1.0 WHEN least(e1, e2) - greatest(l1, l2) >= 0 THEN least(1.0, (least(e1, e2) - greatest(l1, l2) + 1) / (least(e1 - l1, e2 - l2) + 1)) WHEN least(e1, e2) - greatest(l1, l2) >= -1 THEN 0.5 ELSE 0.0 END END AS es FROM g),
+        CASE WHEN l1 IS NOT NULL AND l2 IS NOT NULL THEN greatest(0.0, (least(e1, e2) - greatest(l1, l2) + 1) / (greatest(e1, e2) - least(l1, l2) + 1)) END AS es FROM g),
     r AS (SELECT job_id, CASE WHEN t2 IS NOT NULL THEN round((coalesce(ts * {R.TITLE}, 0) + coalesce(ss * {R.SKILLS}, 0) + coalesce(es * {R.EXPERIENCE}, 0)) / (CASE WHEN ts IS NOT NULL THEN {R.TITLE}::DOUBLE ELSE 0 END + CASE WHEN ss IS NOT NULL THEN {R.SKILLS}::DOUBLE ELSE 0 END + CASE WHEN es IS NOT NULL THEN {R.EXPERIENCE}::DOUBLE ELSE 0 END), 6) END AS score FROM h)
     SELECT job_id, score, CASE WHEN score IS NULL THEN 'FIRST' WHEN score >= {R.DUPLICATE} THEN 'DUPLICATE' WHEN score >= {R.POSSIBLE} THEN 'POSSIBLE' ELSE 'NEW' END AS decision FROM r"""
 

@@ -125,7 +125,13 @@ _EML = "graph_id string, subject string, from_email string, to_recipients array<
 
 
 def read_eml(spark: SparkSession, path: str) -> DataFrame:
-    """RFC 822 files; a file that is none gives a row with its text as the body."""
+    """RFC 822 files as messages."""
+    return from_eml(spark.read.format("binaryFile").load(path).select("path", "content"))
+
+
+def from_eml(files: DataFrame) -> DataFrame:
+    """RFC 822 bytes (path, content) as messages; bytes that are none give a row with their text
+    as the body."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -140,7 +146,7 @@ def read_eml(spark: SparkSession, path: str) -> DataFrame:
                 })
             yield pa.RecordBatch.from_pylist(rows, schema=_EML_ARROW)
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, _EML)
+    return files.select("path", "content").mapInArrow(run, _EML)
 
 
 _EML_ARROW = pa.schema([(n, pa.list_(pa.string()) if n == "to_recipients" else pa.string()) for n in ("graph_id", "subject", "from_email", "to_recipients", "received_date_time", "body_plain", "html")])

@@ -3,17 +3,25 @@ store for what failed (SK1, SK3, SK11, T6, T12b, T12c)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+
+
+#: A report of up to so many rows is one file.
+ONE_FILE = 100_000
 
 
 def report(df: DataFrame, path: str, columns: list[str], kind: str = "csv") -> None:
-    """A report as one file of given columns; missing ones are empty. For small results."""
+    """A report of given columns; missing ones are empty. One file up to ONE_FILE rows, which are
+    counted first, a file for each partition beyond."""
     have = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns]
-    out = df.select(*have).coalesce(1).write.mode("overwrite")
-    out.option("header", True).csv(path) if kind == "csv" else out.format(kind).save(path)
+    small = df.limit(ONE_FILE + 1).count() <= ONE_FILE
+    out = (df.coalesce(1) if small else df).select(*have).write.mode("overwrite")
+    out.options(header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(path) if kind == "csv" else out.format(kind).save(path)
 
 
 def append_by_day(df: DataFrame, path: str, ms: str) -> None:
@@ -33,21 +41,21 @@ def deliver(post: Callable[[dict], None], fallback: str) -> Callable[[DataFrame,
 
     def batch(df: DataFrame, batch_id: int) -> None:
         names = df.columns
+        schema = df.withColumn("error", F.lit(None).cast("string")).schema
+        kinds = to_arrow_schema(schema)
 
-        def run(rows: Iterable) -> Iterable[tuple]:
-            for b in rows:
-                for r in b.to_pylist():
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                rows = b.to_pylist()
+                for r in rows:
                     try:
-                        post(r)
+                        post(dict(r))
                         r["error"] = None
                     except Exception as e:  # noqa: BLE001  any failure of a delivery is kept
                         r["error"] = str(e)
-                    yield r
+                yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
-        import pyarrow as pa
-
-        schema = df.withColumn("error", F.lit(None).cast("string")).schema
-        done = df.mapInArrow(lambda it: (pa.RecordBatch.from_pylist([r]) for r in run(it)), schema)
-        done.where("error is not null").select(*names, "error", F.lit(batch_id).alias("batch_id")).write.mode("append").parquet(fallback)
+        done = df.mapInArrow(run, schema)
+        done.where("error is not null").select(*names, "error", F.lit(batch_id).cast("bigint").alias("batch_id")).write.mode("append").parquet(fallback)
 
     return batch
