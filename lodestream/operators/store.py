@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestream.functions.values import real_or_null
+from lodestream.functions.values import PLACEHOLDERS, real_or_null
 from lodestream.operators import slices
 
 
@@ -17,12 +17,12 @@ def field_changes(before: Column, after: Column) -> Column:
     return F.map_filter(both, lambda k, v: v["new"].isNotNull() & (F.trim(v["new"]) != "") & ~norm(v["new"]).eqNullSafe(norm(v["old"])))
 
 
-def merged(rows: DataFrame, key: list[str], order: Column, fields: list[str], fixed: tuple[str, ...] = ()) -> DataFrame:
+def merged(rows: DataFrame, key: list[str], order: Column, fields: list[str], fixed: tuple[str, ...] = (), placeholders: tuple[str, ...] = PLACEHOLDERS) -> DataFrame:
     """One row per key: of each field the latest real value, of fixed fields the earliest.
 
     max_by over a filtered order is an aggregate with partial sums, so no key is sorted in one task."""
-    latest = [F.max_by(f, F.when(real_or_null(F.col(f).cast("string")).isNotNull(), order)).alias(f) for f in fields if f not in fixed]
-    first = [F.min_by(f, F.when(real_or_null(F.col(f).cast("string")).isNotNull(), order)).alias(f) for f in fixed]
+    latest = [F.max_by(f, F.when(real_or_null(F.col(f).cast("string"), placeholders).isNotNull(), order)).alias(f) for f in fields if f not in fixed]
+    first = [F.min_by(f, F.when(real_or_null(F.col(f).cast("string"), placeholders).isNotNull(), order)).alias(f) for f in fixed]
     return rows.groupBy(*key).agg(*first, *latest)
 
 

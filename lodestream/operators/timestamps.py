@@ -84,7 +84,7 @@ def p6_zones(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, folder: str) -> DataFrame:
-    """table_name, record_key, field_name, utc_ms of every valid time of the three fields."""
+    """table_name, record_key, field_name, utc_ms of every valid time of the three fields."""
     mails = to_utc(mail_times(spark, folder), "received_date_time", F.col("mailbox_zone"), seen_ms=F.col("seen"), feed="feed", fallback="UTC")
     parts = [mails.select(F.lit("outlook_messages").alias("table_name"), F.col("graph_id").alias("record_key"), F.lit("received_date_time").alias("field_name"), "utc_ms")]
     for name, key, field in (("final_corrected_requirements", "job_id", "demand_received_date"), ("metaforge_requirements", "job_id", "created_at")):

@@ -21,7 +21,7 @@ mails, demands, stored, versions, events = (_t(x) for x in ("outlook_messages",
 
 @query("seen_antijoin", "SELECT graph_id, internet_message_id FROM outlook_messages m WHERE NOT EXISTS (SELECT 1 FROM jd_versions v WHERE v.source_email_id = m.graph_id)")
 def seen_antijoin(spark, folder):
-    """Mails that no version came from."""
+    """Mails that no version came from."""
     seen = versions(spark, folder).select(F.col("source_email_id").alias("graph_id")).where("graph_id is not null").distinct()
     return mails(spark, folder).select("graph_id", "internet_message_id").join(seen, "graph_id", "left_anti")
 
@@ -83,10 +83,10 @@ def tiered_lookup(spark, folder):
 def history_autofill(spark, folder):
     """Missing locations from the latest earlier record of the same client and title."""
     from lodestream.functions.text import normal_form
-    from lodestream.functions.values import real_or_null
+    from lodestream.functions.values import placeholder_list, real_or_null
 
     d = demands(spark, folder).where("job_id is not null").select("job_id", normal_form(F.col("requirement_from")).alias("client"), normal_form(F.col("job_title")).alias("title"), "location").distinct()
-    d = d.where("client is not null and title is not null").withColumn("loc", real_or_null(F.col("location")))
+    d = d.where("client is not null and title is not null").withColumn("loc", real_or_null(F.col("location"), placeholder_list(table(spark, folder, "placeholder_values"))))
     d = before(d, ["client", "title"], ["job_id", "location"], {"earlier": "loc"}, id_place(F.col("job_id")), real=True)
     return d.where("loc is null and earlier is not null").select("job_id", "location", F.col("earlier").alias("filled"))
 

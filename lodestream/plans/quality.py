@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lodestream.functions import extract as X
 from lodestream.functions.text import ascii_lower, normal_form
-from lodestream.functions.values import is_real
+from lodestream.functions.values import is_real, placeholder_list
 from lodestream.operators.resolve import greedy_matches
 from lodestream.plans.base import query
 from lodestream.plans.matching import demands, stored
@@ -24,15 +24,17 @@ def _real(c: str) -> str:
 
 @query("record_confidence", f"SELECT job_id, round(max(({' + '.join(f'{_real(c)}::INT' for c in _CHECKED)}) / {len(_CHECKED)}.0), 4) AS confidence FROM final_corrected_requirements GROUP BY 1")
 def record_confidence(spark, folder):
-    """The share of fields with a real value."""
-    have = sum((is_real(F.col(c)).cast("int") for c in _CHECKED), F.lit(0))
+    """The share of fields with a real value."""
+    placeholders = placeholder_list(table(spark, folder, "placeholder_values"))
+    have = sum((is_real(F.col(c), placeholders).cast("int") for c in _CHECKED), F.lit(0))
     return demands(spark, folder).groupBy("job_id").agg(F.round(F.max(have / len(_CHECKED)), 4).alias("confidence"))
 
 
 @query("monitor_metrics", f"SELECT requirement_from AS client, count(*) AS records, {', '.join(f'round(avg({_real(c)}::INT), 4) AS {c}_share' for c in _CHECKED[:5])} FROM final_corrected_requirements WHERE requirement_from IS NOT NULL GROUP BY 1")
 def monitor_metrics(spark, folder):
     """V6, V7: shares of real values by client."""
-    return demands(spark, folder).where("requirement_from is not null").groupBy(F.col("requirement_from").alias("client")).agg(F.count("*").alias("records"), *[F.round(F.avg(is_real(F.col(c)).cast("int")), 4).alias(f"{c}_share") for c in _CHECKED[:5]])
+    placeholders = placeholder_list(table(spark, folder, "placeholder_values"))
+    return demands(spark, folder).where("requirement_from is not null").groupBy(F.col("requirement_from").alias("client")).agg(F.count("*").alias("records"), *[F.round(F.avg(is_real(F.col(c), placeholders).cast("int")), 4).alias(f"{c}_share") for c in _CHECKED[:5]])
 
 
 @query(
@@ -42,7 +44,8 @@ def monitor_metrics(spark, folder):
 def threshold_violations(spark, folder):
     """Metrics against their thresholds."""
     limits = (("job_title", 0.95), ("location", 0.9), ("yearly_budget", 0.5), ("client_poc", 0.95))
-    one = demands(spark, folder).agg(*[F.avg(is_real(F.col(c)).cast("int")).alias(c) for c, _ in limits])
+    placeholders = placeholder_list(table(spark, folder, "placeholder_values"))
+    one = demands(spark, folder).agg(*[F.avg(is_real(F.col(c), placeholders).cast("int")).alias(c) for c, _ in limits])
     rows = one.select(F.explode(F.array(*[F.struct(F.lit(c).alias("metric"), F.col(c).alias("value"), F.lit(t).alias("least")) for c, t in limits])).alias("x")).select("x.*")
     return rows.select("metric", F.round("value", 4).alias("value"), "least", (F.col("value") < F.col("least")).alias("is_violation"))
 
@@ -53,7 +56,7 @@ def threshold_violations(spark, folder):
         SELECT job_id, job_title, source_subject, round(len(list_filter(t, lambda x: contains({LOWER.format('source_subject')}, x))) / len(t), 4) AS support FROM w WHERE len(t) > 0""",
 )
 def evidence_support(spark, folder):
-    """The share of a title's words that its mail's subject holds."""
+    """The share of a title's words that its mail's subject holds."""
     d = demands(spark, folder).where("job_title is not null and source_subject is not null").select("job_id", "job_title", "source_subject").distinct()
     d = d.withColumn("t", F.filter(X.words(F.col("job_title")), lambda x: F.length(x) >= 3)).withColumn("s", ascii_lower(F.col("source_subject"))).where(F.size("t") > 0)
     return d.select("job_id", "job_title", "source_subject", F.round(F.size(F.filter("t", lambda x: F.contains(F.col("s"), x))) / F.size("t"), 4).alias("support"))

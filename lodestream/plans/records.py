@@ -107,7 +107,7 @@ def known_line_filter(spark, folder):
         coalesce(number_of_positions, 1)::BIGINT AS positions, CASE WHEN {LOWER.format('from_domain')} = 'veltrona.example' THEN 'internal' WHEN from_domain = '' THEN 'unknown' ELSE 'external' END AS origin FROM (SELECT *, coalesce(split_part(source_from_email, chr(64), 2), '') AS from_domain FROM final_corrected_requirements)""",
 )
 def report_rows(spark, folder):
-    """C28-C30, X19, H16, H37, H41, H44, H45, SC12, SK5, SK6: rows of a flat report with its fallbacks."""
+    """X19, H16, SK6: rows of a flat report with its fallbacks."""
     domain = F.coalesce(F.split_part("source_from_email", F.lit("@"), F.lit(2)), F.lit(""))
     first = lambda *c: F.coalesce(*c, F.lit(""))
     urgency = F.when(F.coalesce("source_subject", F.lit("")).rlike("(?i)urgent|immediate"), "High").otherwise("Medium")

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lodestream.operators import history, timestamps, units
-from lodestream.plans import connectors, fields, matching, quality, reading, records, resolving, storing, streams, texts  # noqa: F401  (they register)
+from lodestream.plans import connectors, evidence, fields, matching, quality, reading, records, resolving, storing, streams, texts  # noqa: F401  (they register)
 from lodestream.plans.instants_sql import P4_SQL, P6_SQL
 from lodestream.plans.base import ORACLE, QUERIES, Query, query
 from lodestream.plans.units_sql import P1_SQL

@@ -6,12 +6,13 @@ from pyspark.sql import functions as F
 
 from lodestream.functions import extract as X
 from lodestream.functions.text import normal_form
-from lodestream.functions.values import real_or_null
+from lodestream.functions.values import placeholder_list, real_or_null
 from lodestream.operators import resolve as R
 from lodestream.operators.slices import before, id_place
 from lodestream.plans.base import query
 from lodestream.plans.matching import _NUMERIC, _TOKENS, _WORDS, _range_sql, demands, mails, stored, versions
 from lodestream.plans.texts import LOWER, NORM
+from lodestream.sources.tables import table
 
 #: Words of titles that tell seniority, and words that tell nothing of the role.
 SENIOR, NOISE = ("junior", "jr", "senior", "sr", "lead", "principal", "staff", "head", "trainee"), ("the", "a", "an", "of", "for", "and", "with", "in", "at", "role", "position", "job", "opening", "urgent")
@@ -27,8 +28,9 @@ _FILLED = ("location", "work_mode", "employment_type", "notice_period", "overall
 )
 def history_fields(spark, folder):
     """Seven fields of a record from the latest earlier real value of the same client and title."""
+    placeholders = placeholder_list(table(spark, folder, "placeholder_values"))
     d = demands(spark, folder).where("job_id is not null").select("job_id", normal_form(F.col("requirement_from")).alias("client"), normal_form(F.col("job_title")).alias("title"), *_FILLED).distinct()
-    d = d.where("client is not null and title is not null").select("job_id", "client", "title", *[real_or_null(F.col(f)).alias(f) for f in _FILLED])
+    d = d.where("client is not null and title is not null").select("job_id", "client", "title", *[real_or_null(F.col(f), placeholders).alias(f) for f in _FILLED])
     d = before(d, ["client", "title"], ["job_id"], {f"was_{f}": f for f in _FILLED}, id_place(F.col("job_id")), real=True)
     each = F.array(*[F.struct(F.lit(f).alias("field"), F.when(F.col(f).isNull(), F.col(f"was_{f}")).alias("filled")) for f in _FILLED])
     return d.select("job_id", F.explode(each).alias("x")).where("x.filled is not null").select("job_id", "x.field", "x.filled", F.lit(0.65).alias("confidence"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lodestream.functions.values import placeholder_list
 from lodestream.operators import store as S
 from lodestream.operators.slices import before
 from lodestream.plans.base import query
 from lodestream.plans.matching import demands, events, stored, versions
 from lodestream.plans.texts import LOWER
+from lodestream.sources.tables import table
 
 _FIELDS = ("job_status", "location", "work_mode", "notice_period", "yearly_budget")
 
@@ -38,7 +40,7 @@ def field_diffs(spark, folder):
 def merge_nonblank(spark, folder):
     """Of each field the latest real value, blank never over real; fixed fields keep the first."""
     d = demands(spark, folder).where("client_jd_id is not null and job_id is not null").select("client_jd_id", "job_id", "location", "priority", "notice_period").distinct()
-    return S.merged(d, ["client_jd_id"], F.col("job_id"), ["location", "priority", "notice_period"], fixed=("notice_period",))
+    return S.merged(d, ["client_jd_id"], F.col("job_id"), ["location", "priority", "notice_period"], fixed=("notice_period",), placeholders=placeholder_list(table(spark, folder, "placeholder_values")))
 
 
 @query(
@@ -47,7 +49,7 @@ def merge_nonblank(spark, folder):
         SELECT job_id, seq::BIGINT AS seq FROM r WHERE rn = 1""",
 )
 def snapshot_upsert(spark, folder):
-    """SK2, U4, U6, U12, U13, U14, U17, U19: a snapshot after an upsert; columns that one side lacks are null."""
+    """SK2, U6, U12, U19: a snapshot after an upsert; columns that one side lacks are null."""
     current = stored(spark, folder).select("job_id", "seq")
     incoming = versions(spark, folder).select(F.col("requirement_id").alias("job_id"), F.col("version_number").cast("bigint").alias("seq"))
     return S.upsert(current, incoming, ["job_id"], "seq")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from lodestream.functions import extract as X
 from lodestream.functions import text as N
-from lodestream.functions.values import real_or_null
+from lodestream.functions.values import placeholder_list, real_or_null
 from lodestream.plans.base import query
 from lodestream.sources.tables import table
 
@@ -83,7 +83,7 @@ def subject_threads(spark, folder):
     r"""SELECT graph_id, md5(regexp_replace(body_plain, '(?s)(^|\n)[>| ]*(From:|Von:|-----|_{10,}|Begin forwarded message).*$', '')) AS head FROM outlook_messages WHERE body_plain IS NOT NULL""",
 )
 def reply_history_cut(spark, folder):
-    """Bodies up to the first header of quoted history."""
+    """Bodies up to the first header of quoted history."""
     return mails(spark, folder).where("body_plain is not null").select("graph_id", F.md5(N.unquoted_head(F.col("body_plain"))).alias("head"))
 
 
@@ -138,7 +138,7 @@ _MARKERS = [r"(?i)unsubscribe", r"(?i)newsletter", r"(?i)special offer", r"(?i)w
         SELECT decision, count(*) AS mails FROM g GROUP BY 1""",
 )
 def gate_decisions(spark, folder):
-    """Ordered gates give each mail one decision; none is dropped, so the ledger stays complete."""
+    """Ordered gates give each mail one decision; none is dropped, so the ledger stays complete."""
     b = F.coalesce("body_plain", F.lit(""))
     inner = N.ascii_lower(F.split_part("from_email", F.lit("@"), F.lit(2))) == "veltrona.example"
     decision = (
@@ -200,7 +200,7 @@ _HEADERS = [("role|position|job title|title", "job_title"), ("city|location|work
     + """) AS f(name, field) ON f.name = c.k GROUP BY 1""",
 )
 def pipe_table_fields(spark, folder):
-    """SG2, SG4, SG7-SG11, H49: rows of tables in text, headers by synonyms from a small table."""
+    """SG2, SG4, H49: rows of tables in text, headers by synonyms from a small table."""
     p = r"^ *[|] *([A-Za-z. ]+?) *[|] *([^|]*[^| ]) *[|] *\r?$"
     m = mails(spark, folder).where("body_plain is not null").select("graph_id", F.explode(N.lines(F.col("body_plain"))).alias("line")).where(F.col("line").rlike(p))
     m = m.select("graph_id", N.ascii_lower(F.trim(F.regexp_extract("line", p, 1))).alias("k"), F.regexp_extract("line", p, 2).alias("v"))
@@ -237,7 +237,7 @@ _MOST = f"nullif(regexp_extract(t, '(?i)(?:max|maximum|up ?to|below|under)[a-z ]
         SELECT t AS text, low, high, CASE WHEN low < 3 THEN 'Junior' WHEN low < 7 THEN 'Mid' WHEN low IS NOT NULL THEN 'Senior' END AS level FROM r""",
 )
 def experience_ranges(spark, folder):
-    """X2, X2b, X2c, X6, X15, C6b, C6c, C23, SG14, H13-H15, H38, H48: years from text, and their level."""
+    """Years from text, and their level."""
     d = demands(spark, folder).select(F.col("overall_experience").alias("text")).where("text is not null").distinct().withColumn("r", X.number_range(F.col("text")))
     return d.select("text", F.col("r.low").alias("low"), F.col("r.high").alias("high"), X.level_of_years(F.col("r.low")).alias("level"))
 
@@ -256,7 +256,7 @@ _ONE = "CASE WHEN " + " + ".join(f"regexp_matches(work_mode, '{p}')::INT" for p,
         FROM (SELECT DISTINCT job_id, work_mode, priority, employment_type, notice_period FROM final_corrected_requirements)""",
 )
 def vocabulary_fields(spark, folder):
-    """Typed values as vocabulary."""
+    """Typed values as vocabulary."""
     d = demands(spark, folder).select("job_id", "work_mode", "priority", "employment_type", "notice_period").distinct()
     return d.select("job_id", X.only_one(F.col("work_mode"), X.WORK_MODES).alias("work_mode"), X.ladder(F.col("priority"), X.PRIORITIES).alias("priority"), X.ladder(F.col("employment_type"), X.EMPLOYMENT).alias("employment_type"), X.ladder(F.col("notice_period"), X.NOTICE).alias("notice"), X.notice_days(F.col("notice_period")).alias("notice_days"))
 
@@ -267,7 +267,7 @@ def vocabulary_fields(spark, folder):
         SELECT skill, count(DISTINCT job_id) AS demands FROM s WHERE skill <> '' AND length(skill) <= 40 AND NOT regexp_matches(skill, '^[0-9 .+-]+$') GROUP BY 1""",
 )
 def skill_counts(spark, folder):
-    """Lists in text as sets; noise left out."""
+    """Lists in text as sets; noise left out."""
     d = demands(spark, folder).where("mandatory_skills is not null").select("job_id", F.explode(X.tokens(F.col("mandatory_skills"))).alias("skill"))
     d = d.where(F.length("skill") <= 40).where(~F.col("skill").rlike("^[0-9 .+-]+$")).distinct()
     return d.groupBy("skill").agg(F.count("*").alias("demands"))
@@ -279,7 +279,7 @@ def skill_counts(spark, folder):
         SELECT tag, count(*) AS docs FROM t JOIN documents d ON regexp_matches(d.text, t.pattern) GROUP BY 1""",
 )
 def tag_dictionary(spark, folder):
-    """A dictionary of patterns over all texts, as an array of hits per text, not a join of all with all."""
+    """A dictionary of patterns over all texts, as an array of hits per text, not a join of all with all."""
     tags = [("java", r"(?i)\bjava\b"), ("python", r"(?i)\bpython\b"), ("sql", r"(?i)\bsql\b"), ("kubernetes", r"(?i)\bkubernetes\b"), ("docker", r"(?i)\bdocker\b"), ("rest", r"(?i)\brest apis?\b")]
     found = F.array_compact(F.array(*[F.when(F.col("text").rlike(p), F.lit(t)) for t, p in tags]))
     return documents(spark, folder).select(F.explode(found).alias("tag")).groupBy("tag").agg(F.count("*").alias("docs"))
@@ -291,7 +291,8 @@ def tag_dictionary(spark, folder):
 )
 def placeholder_nulls(spark, folder):
     """How many real values each field has."""
-    return demands(spark, folder).agg(F.count("*").alias("n_rows"), *[F.count(real_or_null(F.col(c))).alias(c) for c in ("location", "job_title", "yearly_budget", "notice_period", "client_poc", "priority")])
+    placeholders = placeholder_list(table(spark, folder, "placeholder_values"))
+    return demands(spark, folder).agg(F.count("*").alias("n_rows"), *[F.count(real_or_null(F.col(c), placeholders)).alias(c) for c in ("location", "job_title", "yearly_budget", "notice_period", "client_poc", "priority")])
 
 
 @query(
@@ -303,7 +304,8 @@ def placeholder_nulls(spark, folder):
 def alias_coalesce(spark, folder):
     """The first real value of a field's aliases."""
     d = demands(spark, folder).select("job_id", "skills", "mandatory_skills", "overall_experience", "experience_level").distinct()
-    first = lambda *names: F.coalesce(*[real_or_null(F.col(n)) for n in names])
+    placeholders = placeholder_list(table(spark, folder, "placeholder_values"))
+    first = lambda *names: F.coalesce(*[real_or_null(F.col(n), placeholders) for n in names])
     return d.select("job_id", first("skills", "mandatory_skills").alias("skills"), first("overall_experience", "experience_level").alias("experience"))
 
 
@@ -312,7 +314,7 @@ _CITIES = [(r"(?i)navi ?mumbai", "navi mumbai"), (r"(?i)mumbai|bombay", "mumbai"
 
 @query("city_ladder", f"SELECT coalesce({_case('location', _CITIES)}, 'other') AS city, count(*) AS demands FROM final_corrected_requirements WHERE location IS NOT NULL GROUP BY 1")
 def city_ladder(spark, folder):
-    """C8, C10, C11, X18, X32, SG13, H39, H47: the first class of a ladder of patterns."""
+    """The first class of a ladder of patterns."""
     return demands(spark, folder).where("location is not null").groupBy(F.coalesce(X.ladder(F.col("location"), _CITIES), F.lit("other")).alias("city")).agg(F.count("*").alias("demands"))
 
 
@@ -323,7 +325,7 @@ def city_ladder(spark, folder):
         FROM (SELECT client_jd_id AS c FROM metaforge_requirements)) GROUP BY 1""",
 )
 def identifier_checks(spark, folder):
-    """An identifier's verdict by ordered tests."""
+    """An identifier's verdict by ordered tests."""
     c = F.col("client_jd_id")
     verdict = (
         F.when(c.isNull() | (F.trim(c) == ""), "missing").when(~c.rlike("[0-9]"), "no digit").when(c.rlike(r"^[ #]*[0-9]{1,2}[ ]*-[ ]*[0-9]{1,2}$"), "range")
@@ -343,7 +345,7 @@ def id_normal_form(spark, folder):
     """SELECT strftime(make_timestamp(epoch_ms(fetched_at) * 1000 + 19800000000), '%Y/%m/%d') AS day, count(*) AS mails, count(DISTINCT conversation_id) AS conversations, count(DISTINCT graph_id) AS distinct_mails FROM outlook_messages GROUP BY 1""",
 )
 def arrival_days(spark, folder):
-    """Days of arrival in India, whatever the session's zone."""
+    """Days of arrival in India, whatever the session's zone."""
     local = F.convert_timezone(F.lit("UTC"), F.lit("Asia/Kolkata"), F.timestamp_add("MILLISECOND", F.unix_millis("fetched_at"), F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")))
     return mails(spark, folder).groupBy(F.date_format(local, "yyyy/MM/dd").alias("day")).agg(F.count("*").alias("mails"), F.countDistinct("conversation_id").alias("conversations"), F.countDistinct("graph_id").alias("distinct_mails"))
 
@@ -354,7 +356,7 @@ def arrival_days(spark, folder):
         SELECT CASE WHEN n = 1 THEN 'single' WHEN n <= 5 THEN 'multiple' ELSE 'bulk' END AS kind, count(*) AS subjects, sum(n)::BIGINT AS demands FROM p GROUP BY 1""",
 )
 def demand_types(spark, folder):
-    """How many records one source brought."""
+    """How many records one source brought."""
     p = demands(spark, folder).where("source_subject is not null").groupBy("source_subject").agg(F.countDistinct("job_id").alias("n"))
     return p.groupBy(F.when(F.col("n") == 1, "single").when(F.col("n") <= 5, "multiple").otherwise("bulk").alias("kind")).agg(F.count("*").alias("subjects"), F.sum("n").cast("bigint").alias("demands"))
 
@@ -377,7 +379,7 @@ def recipient_lists(spark, folder):
         SELECT graph_id, max(score) AS score, count(*) AS chunks FROM s GROUP BY 1""",
 )
 def thread_best_chunk(spark, folder):
-    """SG3, SG5, SG7, SG16, G12, G18-G20, G26, H32: parts of a thread and the best one's score."""
+    """SG3, SG7: parts of a thread and the best one's score."""
     c = mails(spark, folder).where("body_plain is not null").select("graph_id", F.explode(F.split("body_plain", r"\n[>| ]*From:")).alias("chunk"))
     score = X.hits(F.col("chunk"), [r"(?i)experience|exp\b", r"(?i)skills|tech stack", r"(?i)location|city", r"(?i)openings|positions|count"]).cast("bigint")
     return c.groupBy("graph_id").agg(F.max(score).alias("score"), F.count("*").alias("chunks"))
@@ -390,7 +392,7 @@ def thread_best_chunk(spark, folder):
         SELECT doc_id, min(n)::BIGINT AS first_line, count(*) AS n_lines FROM b GROUP BY doc_id, run HAVING count(*) >= 3""",
 )
 def bare_line_runs(spark, folder):
-    """Runs of three or more short bare lines, as gaps and islands within a text."""
+    """Runs of three or more short bare lines, as gaps and islands within a text."""
     d = documents(spark, folder).where("text is not null").select("doc_id", F.posexplode(N.lines(F.col("text"))).alias("n", "line"))
     d = d.where(F.length(F.trim("line")).between(1, 40) & ~F.col("line").rlike("[.:;?!|]"))
     d = d.withColumn("run", F.col("n") - F.row_number().over(W.partitionBy("doc_id").orderBy("n")))

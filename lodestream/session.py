@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import io
 import tempfile
 import uuid
@@ -57,10 +58,29 @@ def cut(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/cut-{uuid.uuid4().hex}"
+    if not hasattr(spark, "_lodestream_cuts"):
+        spark._lodestream_cuts = []
+        atexit.register(clean, spark)
+    spark._lodestream_cuts.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def clean(spark: SparkSession) -> int:
+    """Delete the tables that cut() wrote in this session, and say how many. Results that still
+    depend on them can't be read any more; at the end of the application it runs by itself."""
+    paths = getattr(spark, "_lodestream_cuts", [])
+    done = 0
+    while paths:
+        path = paths.pop()
+        try:
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            done += bool(at.getFileSystem(spark._jsc.hadoopConfiguration() if hasattr(spark, "_jsc") else spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True))
+        except Exception:  # noqa: BLE001  the JVM may be gone
+            break
+    return done
+
+
 def ship(spark: SparkSession) -> None:
     """Make this package importable in the executors of a cluster, once per context: it is
     written as a zip to the shared folder and added to the session's Python files. Without

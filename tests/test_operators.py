@@ -16,7 +16,7 @@ def test_ranges(spark):
 
 
 def test_overlap(spark):
-    rows = [(3.0, 5.0, 3.0, 9.0, 1.0), (3.0, 6.0, 5.0, 8.0, 0.5), (3.0, 5.0, 6.0, 8.0, 0.5), (1.0, 2.0, 9.0, 12.0, 0.0), (None, 2.0, 9.0, 12.0, None)]
+    rows = [(3.0, 5.0, 3.0, 9.0, 3 / 7), (3.0, 6.0, 5.0, 8.0, 2 / 6), (3.0, 5.0, 6.0, 8.0, 0.0), (1.0, 2.0, 9.0, 12.0, 0.0), (None, 2.0, 9.0, 12.0, None), (8.0, None, 8.0, 12.0, 1.0), (4.0, 4.0, 4.0, 4.0, 1.0)]
     df = spark.createDataFrame(rows, "a double, b double, c double, d double, want double").select("want", X.overlap(*map(F.col, "abcd")).alias("got"))
     assert all(r["got"] == r["want"] for r in df.collect())
 

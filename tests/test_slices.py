@@ -34,3 +34,13 @@ def test_hot_keys_are_cut(spark):
     assert sum(sizes) == 20_000 and max(sizes) <= 1_500
     assert slices.sliced(df, ["k"], F.col("ms"), most=20_000).select("__slice").distinct().count() == 1
     assert slices.before(df.limit(0), ["k"], ["ms"], {"last": "ms"}).count() == 0
+
+
+def test_written_tables_are_removed(spark):
+    from lodestream.session import clean, cut
+
+    t = cut(spark.range(5).toDF("x"))
+    assert t.count() == 5
+    assert clean(spark) >= 1 and clean(spark) == 0
+    with pytest.raises(Exception, match="(?i)exist|found"):
+        t.count()
