@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from lodestream.functions.instants import with_utc_ms
 from lodestream.functions.values import placeholder_list, present, single_spaced
-from lodestream.operators.slices import SLICE_ROWS, sliced
+from lodestream.operators.slices import SLICE_ROWS, has_hot_key, sliced
 from lodestream.session import cut, shared_dir
 from lodestream.sources.tables import table
 
@@ -46,6 +46,10 @@ def build_chains(raw: DataFrame, most: int = SLICE_ROWS) -> DataFrame:
     """
     rows = raw.select("entity", "field", "value", "at_ms").where("entity is not null and field is not null and value is not null and at_ms is not null")
     rows = rows.groupBy("entity", "field", "at_ms").agg(F.max("value").alias("value"))
+    if not has_hot_key(rows, ["entity", "field"], most):
+        w = W.partitionBy("entity", "field").orderBy("at_ms")
+        runs = rows.withColumn("before", F.lag("value").over(w)).where("before is null or before <> value")
+        return runs.select("entity", "field", "value", F.col("at_ms").alias("valid_from_ms"), F.coalesce(F.lead("at_ms").over(w), F.lit(0)).cast("bigint").alias("valid_to_ms"), F.col("before").isNull().alias("is_first"))
     rows = sliced(rows, ["entity", "field"], F.col("at_ms"), most).withColumnRenamed("__slice", "slice")
     inside = W.partitionBy("entity", "field", "slice").orderBy("at_ms")
     # runs within a slice: rows that differ from the one before

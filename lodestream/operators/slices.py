@@ -26,6 +26,12 @@ def attached(rows: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
     return rows.join(few, same, "left").drop(*[f"__of_{k}" for k in keys])
 
 
+def has_hot_key(rows: DataFrame, keys: list[str], most: int = SLICE_ROWS) -> bool:
+    """Whether a key has more than ``most`` rows: one aggregation, of which one row comes back. Where
+    none has, a plain window sorts no more than that in a task, and slices would only cost."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("__n")).where(F.col("__n") > most).limit(1).count() > 0
+
+
 def sliced(rows: DataFrame, keys: list[str], place: Column, most: int = SLICE_ROWS) -> DataFrame:
     """rows with ``__slice``: 0, 1, ... along the number ``place`` within each key, so that slices
     have about ``most`` rows or a thousandth of the key's. Rows of one place are in one slice; a
@@ -48,6 +54,10 @@ def before(rows: DataFrame, keys: list[str], order: list[str], values: dict[str,
     ``place`` is a number that rises with the order, of which the first column is the default. The
     order should be total; null keys are a key. An empty table gives an empty result.
     """
+    if not has_hot_key(rows, keys, most):
+        w = W.partitionBy(*keys).orderBy(*order)
+        one = (lambda c: F.last(c, ignorenulls=True).over(w.rowsBetween(W.unboundedPreceding, -1))) if real else (lambda c: F.lag(c).over(w))
+        return rows.withColumns({out: one(c) for out, c in values.items()})
     s = sliced(rows, keys, F.col(order[0]) if place is None else place, most)
     inside = W.partitionBy(*keys, "__slice").orderBy(*order)
     along = W.partitionBy(*keys).orderBy("__slice")
@@ -72,6 +82,8 @@ def before(rows: DataFrame, keys: list[str], order: list[str], values: dict[str,
 
 def numbered(rows: DataFrame, keys: list[str], order: list[str], out: str, place: Column | None = None, most: int = SLICE_ROWS) -> DataFrame:
     """rows with bigint ``out``: 1, 2, ... by ``order`` within the keys; see before()."""
+    if not has_hot_key(rows, keys, most):
+        return rows.withColumn(out, F.row_number().over(W.partitionBy(*keys).orderBy(*order)).cast("bigint"))
     s = sliced(rows, keys, F.col(order[0]) if place is None else place, most)
     sums = s.groupBy(*keys, "__slice").agg(F.count("*").alias("__n"))
     ahead = W.partitionBy(*keys).orderBy("__slice").rowsBetween(W.unboundedPreceding, -1)
