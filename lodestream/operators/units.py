@@ -178,7 +178,7 @@ def _scan_currency(c):
 
 
 def p1_found(spark: SparkSession, folder: str) -> DataFrame:
-    """job_id, inr_per_year_min, inr_per_year_max; the yearly field counts before the monthly."""
+    """job_id, inr_per_year_min, inr_per_year_max; the yearly field counts before the monthly."""
     rows = table(spark, folder, "final_corrected_requirements").select("job_id", "yearly_budget", "monthly_budget", "budget_currency").where("job_id is not null")
     factors = table(spark, folder, "budget_units")
     rows = to_common_unit(rows, "yearly_budget", "year", "budget_currency", factors, "year")

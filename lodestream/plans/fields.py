@@ -154,3 +154,12 @@ register("reported_positions", DEMANDS, "H45, H46, X3: positions by column, by s
 text = col("text")
 register("label_lines", "documents", "H51, G24: how many lines are a label alone, and how many are protected by a technical word.", {"doc_id": col("doc_id"), "labels": size(every(text, r"(?:^|\n)[ \t]*[A-Z][A-Za-z ]{2,30}[:=-][ \t]*\r?(?:\n|$)", 0)), "technical": size(every(text, r"(?i)(?:^|\n)[^\n]{0,60}\b(?:api|sql|java|python|cloud|kubernetes|docker|linux|rest)\b", 0))}, text.there())
 register("disclaimer_tails", "documents", "N18: where the first note of law begins, and the length of what stands before it.", {"doc_id": col("doc_id"), "head": size(parts(replaced(text, r"(?is)(?:^|\n)[^\n]{0,3}(?:disclaimer|confidentiality notice|important notice|this (?:e-?mail|message) (?:and|is)).*$", ""), r"\n")), "has_note": matches(text, r"(?i)(?:^|\n)[^\n]{0,3}(?:disclaimer|confidentiality notice|important notice|this (?:e-?mail|message) (?:and|is))")}, text.there())
+
+monthly = number(replaced(group(col("monthly_budget"), r"([0-9][0-9,]*(?:\.[0-9]+)?)"), ",", ""))
+register("monthly_pay", DEMANDS, "X5c: stated monthly figures that are plausible as such.", {"text": col("monthly_budget"), "figure": monthly, "plausible": first((monthly >= 10000) & (monthly <= 10000000), False)}, col("monthly_budget").there())
+register("preprocessed_lines", MAILS, "N17: bodies without invisible characters, lone bullets joined with the next line.", {"graph_id": graph_id, "lines": size(parts(replaced(replaced(body, r"[\x{200B}\x{200C}\x{200D}\x{2060}\x{FEFF}]", ""), r"\n[ \t]*[•●◦*-][ \t]*\r?\n", "\n• "), r"\n")), "lone_bullets": size(every(body, r"\n[ \t]*[•●◦*-][ \t]*\r?\n", 0))}, body.there())
+register("summaries", MAILS, "N19: at most 600 characters from the first phrase that states the wish on (a bounded summary).", {"graph_id": graph_id, "summary": group(body, r"(?is)\b((?:please find|please share|we have an opening|sharing one more|new demand).{0,580})")}, body.there())
+ROW = r"(^|\n)[ >]*\|(?:[^|\n]*\|){4,}[ \r]*"
+register("wide_rows_removed", MAILS, "N9, N12: bodies without the rows of candidate tables, which have four cells or more.", {"graph_id": graph_id, "rows": size(every(body, ROW, 0)), "left": size(parts(replaced(body, ROW, ""), r"\n"))}, body.there())
+NEXT = r"(?i)(?:^|\n)[ \t]*(?:role|position|job title|location|city|experience|exp|openings|budget|skills|responsibilities|job description)[ \t]*:?[ \t]*\r?\n[ \t]*([^\n\r]+)"
+register("next_line_values", "documents", "SG8, SG9: values that stand on the line below a lone label, as in vertical tables.", {"doc_id": col("doc_id"), "n": size(every(text, NEXT, 1)), "first_values": joined(at_most(every(text, NEXT, 1), 4), " / ")}, text.there())

@@ -192,7 +192,7 @@ def resolution_decisions(spark, folder):
 
 @query("candidate_decisions")
 def candidate_decisions(spark, folder):
-    """E6, R3, R5, R10, and of E7 the hard rules and the weights of title, skills and experience: the best decision on each record against all earlier candidates (no oracle: brute force in the tests)."""
+    """The hard rules and the weights of title, skills and experience: the best decision on each record against all earlier candidates (no oracle: brute force in the tests)."""
     from lodestream.functions.text import normal_form
 
     d = demands(spark, folder).select("job_id", normal_form(F.col("requirement_from")).alias("client"), R.city_of(F.col("location")).alias("city"), "client_jd_id", normal_form(F.col("job_title")).alias("title"), F.col("mandatory_skills").alias("skills"), F.col("overall_experience").alias("experience"))

@@ -163,3 +163,16 @@ def pair_scores(spark, folder):
         (seniority(wa) == seniority(wb)).alias("same_seniority"), (numerals(wa) == numerals(wb)).alias("same_numerals"), r(positions).alias("positions"), mode.alias("mode"), r(others).alias("others"),
         r(X.overlap(ya["low"], ya["high"], yb["low"], yb["high"])).alias("years"),
     )
+
+
+@query(
+    "text_scores",
+    f"""WITH v AS (SELECT DISTINCT requirement_id, id, version_number, {NORM.format('job_description')} AS t FROM jd_versions WHERE requirement_id IS NOT NULL AND job_description IS NOT NULL), l AS (SELECT *, lag(t) OVER (PARTITION BY requirement_id ORDER BY version_number, id) AS p FROM v)
+        SELECT requirement_id, id, t = p AS is_equal, round(CASE WHEN t = p THEN 1 ELSE {_jac(_WORDS.format('t'), _WORDS.format('p'))} END, 4) AS score FROM l WHERE p IS NOT NULL""",
+)
+def text_scores(spark, folder):
+    """The whole text of each version against the one before: 1 if their normal forms are equal, else the words they share."""
+    v = versions(spark, folder).where("requirement_id is not null and job_description is not null").select("requirement_id", "id", "version_number", normal_form(F.col("job_description")).alias("t")).distinct()
+    v = before(v, ["requirement_id"], ["version_number", "id"], {"p": "t"}).where("p is not null")
+    equal = F.col("t") == F.col("p")
+    return v.select("requirement_id", "id", equal.alias("is_equal"), F.round(F.when(equal, 1.0).otherwise(X.jaccard(X.words(F.col("t")), X.words(F.col("p")))), 4).alias("score"))

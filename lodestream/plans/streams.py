@@ -15,7 +15,7 @@ from lodestream.streaming.ingest import seen_ingest
 
 @query("stream_seen_ingest", "SELECT mailbox_zone, count(*) AS mails FROM (SELECT graph_id, any_value(mailbox_zone) AS mailbox_zone FROM outlook_messages WHERE graph_id IS NOT NULL GROUP BY 1) GROUP BY 1")
 def stream_seen_ingest(spark, folder):
-    """T1-T6, T11-T13, SC10: a file stream through the permanent seen-set; each mail comes out once."""
+    """T1, T5, T6, T11, T12, T13, SC10: a file stream through the permanent seen-set; each mail comes out once."""
     out = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     schema = table(spark, folder, "outlook_messages").select("graph_id", "mailbox_zone").schema
     stream = spark.readStream.schema(schema).option("recursiveFileLookup", True).parquet(f"{folder}/outlook_messages.parquet*")
