@@ -31,6 +31,12 @@ def label_value(c: Column, labels: list[str]) -> Column:
     return first_of(c, [rf"(?i)(?:^|\n)[ \t*|>-]*{label}[ \t]*(?:[:=|]|-[ ])[ \t]*([^\n\r|]*[^\n\r| ])" for label in labels])
 
 
+def labelled_lines(c: Column, labels: list[str]) -> Column:
+    """The lines that begin with any of the labels and a separator, from the label to the value's end:
+    the text that label_value() has to look at, in one pass over the whole."""
+    return F.array_join(F.regexp_extract_all(c, F.lit(rf"(?i)(?:^|\n)[ \t*|>-]*((?:{'|'.join(labels)})[ \t]*(?:[:=|]|-[ ])[ \t]*[^\n\r|]*[^\n\r| ])"), F.lit(1)), "\n")
+
+
 def number_range(c: Column, single_is_both: bool = False) -> Column:
     """struct(low, high) of the years in a text: '3-5', '3 to 5', '8+', 'min 3', 'max 5', '4'.
     A single figure is low alone, or both if so asked."""

@@ -219,7 +219,9 @@ def _label_sql(labels: list[str]) -> str:
 @query("label_values", "SELECT graph_id, " + ", ".join(f"{_label_sql(v)} AS {k}" for k, v in _LABELS.items()) + " FROM outlook_messages WHERE body_plain IS NOT NULL")
 def label_values(spark, folder):
     """X1, X10, X11, X26, X37, SG13, SG15: the first value of each label, in the order of its synonyms."""
-    return mails(spark, folder).where("body_plain is not null").select("graph_id", *[X.label_value(F.col("body_plain"), v).alias(k) for k, v in _LABELS.items()])
+    lines = X.labelled_lines(F.col("body_plain"), [x for v in _LABELS.values() for x in v])
+    m = mails(spark, folder).where("body_plain is not null").select("graph_id", lines.alias("lines"))
+    return m.select("graph_id", *[X.label_value(F.col("lines"), v).alias(k) for k, v in _LABELS.items()])
 
 
 _N = "([0-9]{1,2}(?:\\.[0-9])?)"

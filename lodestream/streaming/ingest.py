@@ -17,8 +17,15 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
+#: Buckets of the permanent seen-set.
+SEEN_BUCKETS = 64
+
+
 def seen_ingest(stream: DataFrame, key: str, out: str, checkpoint: str, trigger: dict | None = None, each: Callable[[DataFrame, int], None] | None = None) -> StreamingQuery:
-    """Writes rows of ``stream`` whose key was never seen to out/data, keys to out/seen."""
+    """Writes rows of ``stream`` whose key was never seen to out/data, keys to out/seen.
+
+    Seen keys lie in SEEN_BUCKETS buckets of their hash; a batch reads those of its own keys only."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(SEEN_BUCKETS)).cast("int")
 
     def batch(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
@@ -27,13 +34,14 @@ def seen_ingest(stream: DataFrame, key: str, out: str, checkpoint: str, trigger:
         fresh = df.where(F.col(key).isNotNull()).dropDuplicates([key])
         if fs.exists(keys):
             # this batch's own earlier attempt doesn't count as seen
-            seen = spark.read.parquet(f"{out}/seen").where(F.col("batch") < batch_id).select(key)
+            mine = [r[0] for r in fresh.select(bucket).distinct().collect()]  # at most SEEN_BUCKETS
+            seen = spark.read.parquet(f"{out}/seen").where((F.col("batch") < batch_id) & F.col("bucket").isin(mine)).select(key)
             fresh = fresh.join(seen, key, "left_anti")
         fresh.write.mode("overwrite").parquet(f"{out}/data/batch={batch_id}")
         kept = spark.read.parquet(f"{out}/data/batch={batch_id}")
         if each:
             each(kept, batch_id)
-        kept.select(key).write.mode("overwrite").parquet(f"{out}/seen/batch={batch_id}")
+        kept.select(key, bucket.alias("bucket")).repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{out}/seen/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
