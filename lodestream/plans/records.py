@@ -9,7 +9,7 @@ from lodestream.functions import text as N
 from lodestream.operators.resolve import near_titles
 from lodestream.plans.base import query
 from lodestream.plans.matching import demands, mails, stored
-from lodestream.plans.texts import LOWER, NORM
+from lodestream.plans.texts import INTERNAL, LOWER, NORM, internal_domains
 from lodestream.sources.tables import table
 
 _TABLE = r"(?:^|\n)[>| ]*\|? *(?:Role|Position|Job Title) *\| *([^|\n\r]*[^|\n\r ])"
@@ -29,7 +29,7 @@ def extraction_precedence(spark, folder):
     return m.select("graph_id", F.coalesce("t", "l", "s").alias("job_title"), strategy.alias("strategy"))
 
 
-_PROBES = {"positions": r"Updated count - ([0-9]+) positions", "rate": r"Rate asked is ([0-9]+k) a month", "years": r"([0-9]+) years? needed in"}
+_PROBES = {"positions": r"(?i)\b([0-9]{1,3}) (?:positions?|openings?|seats?|profiles?|vacanc(?:y|ies))\b", "rate": r"(?i)\b([0-9]{1,3} ?k) (?:a|per|/) ?month\b", "years": r"(?i)\b([0-9]{1,2}) ?\+? ?(?:years?|yrs?)\b"}
 
 
 @query("reply_probes", "SELECT graph_id, " + ", ".join(f"nullif(regexp_extract(body_plain, '{p}', 1), '') AS {k}" for k, p in _PROBES.items()) + " FROM outlook_messages WHERE in_reply_to IS NOT NULL AND (" + " OR ".join(f"regexp_matches(body_plain, '{p}')" for p in _PROBES.values()) + ")")
@@ -104,15 +104,15 @@ def known_line_filter(spark, folder):
 @query(
     "report_rows",
     f"""SELECT DISTINCT job_id, coalesce(job_title, source_subject, '') AS role, coalesce(client_poc, client_lead_poc, '') AS contact, coalesce(overall_experience, experience_level, '') AS experience, CASE WHEN regexp_matches(coalesce(source_subject, ''), '(?i)urgent|immediate') THEN 'High' ELSE 'Medium' END AS urgency,
-        coalesce(number_of_positions, 1)::BIGINT AS positions, CASE WHEN {LOWER.format('from_domain')} = 'veltrona.example' THEN 'internal' WHEN from_domain = '' THEN 'unknown' ELSE 'external' END AS origin FROM (SELECT *, coalesce(split_part(source_from_email, chr(64), 2), '') AS from_domain FROM final_corrected_requirements)""",
+        coalesce(number_of_positions, 1)::BIGINT AS positions, CASE WHEN {LOWER.format('from_domain')} IN {INTERNAL} THEN 'internal' WHEN from_domain = '' THEN 'unknown' ELSE 'external' END AS origin FROM (SELECT *, coalesce(split_part(source_from_email, chr(64), 2), '') AS from_domain FROM final_corrected_requirements)""",
 )
 def report_rows(spark, folder):
     """X19, H16, SK6: rows of a flat report with its fallbacks."""
     domain = F.coalesce(F.split_part("source_from_email", F.lit("@"), F.lit(2)), F.lit(""))
     first = lambda *c: F.coalesce(*c, F.lit(""))
     urgency = F.when(F.coalesce("source_subject", F.lit("")).rlike("(?i)urgent|immediate"), "High").otherwise("Medium")
-    origin = F.when(N.ascii_lower(domain) == "veltrona.example", "internal").when(domain == "", "unknown").otherwise("external")
-    d = demands(spark, folder)
+    origin = F.when(F.col("inner"), "internal").when(F.col("domain") == "", "unknown").otherwise("external")
+    d = demands(spark, folder).withColumn("domain", N.ascii_lower(domain)).join(internal_domains(spark, folder).withColumn("inner", F.lit(True)), "domain", "left")
     return d.select("job_id", first("job_title", "source_subject").alias("role"), first("client_poc", "client_lead_poc").alias("contact"), first("overall_experience", "experience_level").alias("experience"), urgency.alias("urgency"), F.coalesce("number_of_positions", F.lit(1)).cast("bigint").alias("positions"), origin.alias("origin")).distinct()
 
 

@@ -125,14 +125,23 @@ def bullet_points(spark, folder):
     return b.select("doc_id", F.size("b").cast("bigint").alias("bullets"), F.aggregate("b", F.lit(0).cast("bigint"), lambda a, x: a + F.length(x)).alias("chars"))
 
 
-_MARKERS = [r"(?i)unsubscribe", r"(?i)newsletter", r"(?i)special offer", r"(?i)webinar", r"(?i)registered office", r"(?i)supply staff", r"(?i)no warranty", r"(?i)on our page"]
+_MARKERS = [r"(?i)unsubscribe", r"(?i)newsletter", r"(?i)special offer", r"(?i)webinar", r"(?i)click here", r"(?i)limited (?:time|seats)", r"(?i)\bdiscounts?\b", r"(?i)view (?:this )?in (?:your )?browser"]
+
+#: The domains of the addresses that are put in copy: those of the desk itself.
+INTERNAL = f"(SELECT DISTINCT {LOWER.format('split_part(x, chr(64), 2)')} FROM (SELECT unnest(cc_recipients) AS x FROM outlook_messages) WHERE x LIKE '%@_%')"
+
+
+def internal_domains(spark: SparkSession, folder: str) -> DataFrame:
+    """domain: the same as a table."""
+    x = mails(spark, folder).select(F.explode("cc_recipients").alias("x")).where("x like '%@_%'")
+    return x.select(N.ascii_lower(F.split_part("x", F.lit("@"), F.lit(2))).alias("domain")).distinct()
 
 
 @query(
     "gate_decisions",
     f"""WITH f AS (SELECT from_email, subject, coalesce(body_plain, '') AS b FROM outlook_messages), g AS (SELECT CASE
         WHEN from_email IS NULL OR NOT regexp_matches(from_email, '^{N.EMAIL}$') THEN 'malformed'
-        WHEN {LOWER.format("split_part(from_email, '@', 2)")} = 'veltrona.example' AND NOT regexp_matches(coalesce(subject, ''), '(?i)^ *(fw|fwd) *:') THEN 'internal'
+        WHEN {LOWER.format("split_part(from_email, '@', 2)")} IN {INTERNAL} AND NOT regexp_matches(coalesce(subject, ''), '(?i)^ *(fw|fwd) *:') THEN 'internal'
         WHEN {' + '.join(f"regexp_matches(b, '{m}')::INT" for m in _MARKERS)} >= 2 THEN 'marked'
         WHEN regexp_matches(b, '(?i)(experience|openings|positions|location)') THEN 'accepted' ELSE 'unstructured' END AS decision FROM f)
         SELECT decision, count(*) AS mails FROM g GROUP BY 1""",
@@ -140,7 +149,7 @@ _MARKERS = [r"(?i)unsubscribe", r"(?i)newsletter", r"(?i)special offer", r"(?i)w
 def gate_decisions(spark, folder):
     """Ordered gates give each mail one decision; none is dropped, so the ledger stays complete."""
     b = F.coalesce("body_plain", F.lit(""))
-    inner = N.ascii_lower(F.split_part("from_email", F.lit("@"), F.lit(2))) == "veltrona.example"
+    inner = F.coalesce("inner", F.lit(False))
     decision = (
         F.when(F.col("from_email").isNull() | ~F.col("from_email").rlike(f"^{N.EMAIL}$"), "malformed")
         .when(inner & ~F.coalesce("subject", F.lit("")).rlike("(?i)^ *(fw|fwd) *:"), "internal")
@@ -148,7 +157,9 @@ def gate_decisions(spark, folder):
         .when(b.rlike("(?i)(experience|openings|positions|location)"), "accepted")
         .otherwise("unstructured")
     )
-    return mails(spark, folder).groupBy(decision.alias("decision")).agg(F.count("*").alias("mails"))
+    m = mails(spark, folder).withColumn("domain", N.ascii_lower(F.split_part("from_email", F.lit("@"), F.lit(2))))
+    m = m.join(internal_domains(spark, folder).withColumn("inner", F.lit(True)), "domain", "left")
+    return m.groupBy(decision.alias("decision")).agg(F.count("*").alias("mails"))
 
 
 _STATUS = [(r"(?i)\b(re-?open|reopened)\b", "reopen"), (r"(?i)\b(on hold|hold)\b", "hold"), (r"(?i)\b(closed|filled|cancelled)\b", "closed")]
@@ -277,14 +288,16 @@ def skill_counts(spark, folder):
 
 @query(
     "tag_dictionary",
-    r"""WITH t(tag, pattern) AS (VALUES ('java', '(?i)\bjava\b'), ('python', '(?i)\bpython\b'), ('sql', '(?i)\bsql\b'), ('kubernetes', '(?i)\bkubernetes\b'), ('docker', '(?i)\bdocker\b'), ('rest', '(?i)\brest apis?\b'))
-        SELECT tag, count(*) AS docs FROM t JOIN documents d ON regexp_matches(d.text, t.pattern) GROUP BY 1""",
+    f"""WITH t AS (SELECT tag FROM (SELECT DISTINCT job_id, trim(regexp_replace({LOWER.format('u.s')}, '[ \\t\\n\\r\\f]+', ' ', 'g'), ' ') AS tag FROM final_corrected_requirements, unnest(regexp_split_to_array(mandatory_skills, '[,;/|\\n•*]+')) AS u(s) WHERE job_id IS NOT NULL) WHERE regexp_matches(tag, '^[a-z][a-z0-9+#]+$') GROUP BY 1 HAVING count(*) >= 5),
+        d AS (SELECT doc_id, unnest(list_distinct(regexp_split_to_array({LOWER.format('text')}, '[^a-z0-9+#]+'))) AS tag FROM documents WHERE text IS NOT NULL AND doc_id IS NOT NULL)
+        SELECT tag, count(*) AS docs FROM d JOIN t USING (tag) GROUP BY 1""",
 )
 def tag_dictionary(spark, folder):
-    """A dictionary of patterns over all texts, as an array of hits per text, not a join of all with all."""
-    tags = [("java", r"(?i)\bjava\b"), ("python", r"(?i)\bpython\b"), ("sql", r"(?i)\bsql\b"), ("kubernetes", r"(?i)\bkubernetes\b"), ("docker", r"(?i)\bdocker\b"), ("rest", r"(?i)\brest apis?\b")]
-    found = F.array_compact(F.array(*[F.when(F.col("text").rlike(p), F.lit(t)) for t, p in tags]))
-    return documents(spark, folder).select(F.explode(found).alias("tag")).groupBy("tag").agg(F.count("*").alias("docs"))
+    """A dictionary of technical words, those that five demands or more ask for, found in all texts by an equi-join on their words."""
+    t = demands(spark, folder).where("job_id is not null").select("job_id", F.explode(X.tokens(F.col("mandatory_skills"))).alias("tag")).distinct()
+    t = t.where(F.col("tag").rlike("^[a-z][a-z0-9+#]+$")).groupBy("tag").agg(F.count("*").alias("n")).where("n >= 5").select("tag")
+    d = documents(spark, folder).where("text is not null and doc_id is not null").select(F.explode(F.array_distinct(F.split(N.ascii_lower(F.col("text")), "[^a-z0-9+#]+", -1))).alias("tag"))
+    return d.groupBy("tag").agg(F.count("*").alias("docs")).join(t, "tag").select("tag", "docs")
 
 
 @query(
