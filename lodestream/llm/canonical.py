@@ -26,15 +26,13 @@ from lodestream.sources.tables import table
 #: field -> kind of entry
 KINDS = {"location": "location", "requirement_from": "client", "job_title": "job_title"}
 
-#: Words that stand beside names and are never repaired into one (fixed values).
-PLAIN = frozenset("""
- a account an and any any anywhere as at based branch budget campus city client colony confidential corp corporation customer day days demand desk
- estate experience exp finalised for from helpdesk home hybrid immediate in inc india is joiner joiners limited list llc llp loc location locations ltd
- mail mar more multiple night no note notes of office on onsite open opening openings or other park park pan position positions priority private pvt
- re rd remote remotely reopened repost requirement role roles seat seats see sez sheet shared shift site sites slot team tech the ticket to town
- urgent valley various vendor walk week wfh wfo with work working year years yrs
- jr junior lead principal senior sr staff trainee contract c2h batch call drive
-""".split())
+#: Common words that are never repaired into a name (fixed values).
+PLAIN = frozenset("a an and any as at for from in is more no not of on only or other the to up with".split())
+
+#: A token of OWN_VALUES values or more is a word of its own, no misspelling, where it stands in more
+#: than OWN_PART as many values as the near word, and no abbreviation where in more than the word:
+#: misspellings are rarer than what they miss.
+OWN_VALUES, OWN_PART = 4, 0.25
 
 #: Share of a name's weight that a value must hold.
 CLIENT, TITLE = 0.75, 0.72
@@ -73,21 +71,25 @@ def edits(length: int) -> int:
     return 0 if length < 3 else 1 if length < 4 else 2 if length < 9 else 3
 
 
-def repair(kind: str, token: str, candidates: list[tuple[str, bool]]) -> list[tuple[str, float]]:
-    """The reference words that a token may stand for, with similarities, among candidates (word,
-    whether it is a name written as one word)."""
-    words = {w for w, _ in candidates}
+def repair(kind: str, token: str, times: int, candidates: list[tuple[str, bool, int]]) -> list[tuple[str, float]]:
+    """The reference words that a token of ``times`` values may stand for, with similarities, among
+    candidates (word, whether it is a name written as one word, in how many values it stands)."""
+    words = {w for w, _, _ in candidates}
     found: dict[str, float] = {}
     for w in (token + "s", token[:-1] if token.endswith("s") else ""):  # number
         if len(w) > 1 and w in words:
             found[w] = 0.97
     if token in words:
         return [(token, 1.0), *found.items()]
-    if token in PLAIN and not (kind == "job_title" and token == "tech") or not token.isalpha() or len(token) < 2 or found:
+    if token in PLAIN or not token.isalpha() or len(token) < 2 or found:
         return list(found.items())
     mine, stem = allowed(kind, token), stem_of(token)
-    for w, joined in candidates:
+    for w, joined, n in candidates:
         most = min(edits(len(w)), mine)
+        if times >= OWN_VALUES and times > OWN_PART * n:
+            most = 0
+            if times > n:
+                continue
         if w.isalpha() and abs(len(w) - len(token)) <= most and (d := distance(token, w, most)) <= most:
             found[w] = max(found.get(w, 0), 1 - d / max(len(w), len(token)) * 0.9)
         if len(stem) > 2 and not joined and w[0] == stem[0]:
@@ -265,18 +267,22 @@ def _with_keys(df: DataFrame, columns: list[str], of: Callable[..., set[str]], s
 
 
 def near_words(tokens: DataFrame, words: DataFrame) -> DataFrame:
-    """(kind, token, candidates) of distinct tokens (kind, token): the words (kind, word, joined)
-    that repair() may find; an equi-join on keys that both sides make of themselves."""
+    """(kind, token, times, candidates) of distinct tokens (kind, token, times): the words (kind, word,
+    joined) that repair() may find, with how often they are tokens themselves; an equi-join on
+    keys that both sides make of themselves."""
     given = words.select("kind", "word", "joined")
+    counted = tokens.select("kind", F.col("token").alias("word"), F.col("times").alias("n"))
+    seen = given.join(counted, ["kind", "word"], "left").select("kind", "word", F.coalesce("n", F.lit(0)).alias("n"))
     forms = F.array_distinct(F.array("token", F.concat("token", F.lit("s")), F.regexp_replace("token", "s$", "")))
     same = tokens.select("kind", "token", F.explode(forms).alias("word")).join(given, ["kind", "word"])
-    unknown = tokens.join(given.select("kind", F.col("word").alias("token")), ["kind", "token"], "left_anti").where(~F.col("token").isin(*(PLAIN - {"tech"})) & (F.length("token") >= 2))
+    unknown = tokens.join(given.select("kind", F.col("word").alias("token")), ["kind", "token"], "left_anti").where(~F.col("token").isin(*PLAIN) & (F.length("token") >= 2))
     a = _with_keys(unknown.select("kind", "token"), ["kind", "token"], token_keys, "kind string, token string, key string")
     b = _with_keys(given, ["word", "joined"], word_keys, "kind string, word string, joined boolean, key string")
     near = F.col("key").startswith("a") | (F.abs(F.length("token") - F.length("word")) <= 3)
     met = a.join(b, ["kind", "key"]).where(near).select("kind", "token", "word", "joined")
     found = same.select("kind", "token", "word", "joined").unionByName(met)
-    return found.groupBy("kind", "token").agg(F.collect_set(F.struct("word", "joined")).alias("candidates"))
+    found = found.join(seen, ["kind", "word"]).groupBy("kind", "token").agg(F.collect_set(F.struct("word", "joined", "n")).alias("candidates"))
+    return found.join(tokens, ["kind", "token"])
 
 
 _REPAIRED = "kind string, token string, words array<struct<word:string,sim:double>>"
@@ -296,12 +302,12 @@ def map_values(values: DataFrame, entries: DataFrame) -> DataFrame:
 
     def repairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = [repair(k, t, [(c["word"], c["joined"]) for c in cs]) for k, t, cs in zip(*(b.column(c).to_pylist() for c in ("kind", "token", "candidates")))]
+            rows = [repair(k, t, n, [(c["word"], c["joined"], c["n"]) for c in cs]) for k, t, n, cs in zip(*(b.column(c).to_pylist() for c in ("kind", "token", "times", "candidates")))]
             made = pa.array([[{"word": w, "sim": s} for w, s in r] for r in rows], pa.list_(pa.struct([("word", pa.string()), ("sim", pa.float64())])))
             yield pa.RecordBatch.from_arrays([b.column("kind"), b.column("token"), made], ["kind", "token", "words"])
 
     # the number of parts stands, as the work is more than the bytes tell
-    near = near_words(split.select("kind", "token").distinct(), words).repartition(parts, "kind", "token")
+    near = near_words(split.groupBy("kind", "token").agg(F.count("*").alias("times")), words).repartition(parts, "kind", "token")
     repaired = cut(near.mapInArrow(repairs, _REPAIRED).where(F.size("words") > 0))
     held = split.join(repaired, ["kind", "token"])
     tokens = held.groupBy("kind", "value").agg(F.collect_list(F.struct("token", "words")).alias("tokens"))
