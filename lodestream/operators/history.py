@@ -209,12 +209,13 @@ def requirement_changes(spark: SparkSession, folder: str) -> DataFrame:
     entries = with_utc_ms(entries.select("job_id", F.col("e.changed_at").alias("at"), F.col("e.changes").alias("changes")), "at_ms", F.col("at"), zone)
     versions = table(spark, folder, "jd_versions").select(F.col("requirement_id").alias("job_id"), "id", "version_number", "payload_json", "changes_json", "created_at").where("requirement_id is not null")
     versions = with_utc_ms(versions, "at_ms", F.col("created_at"), zone)
-    versions = _mark_late(versions)
+    versions = cut(_mark_late(versions))  # read twice
     changed = entries.select("job_id", "at_ms", "changes", F.lit(False).alias("late")).unionByName(
         versions.where("version_number > 1").select("job_id", "at_ms", F.from_json(_unquoted(F.col("changes_json")), _CHANGES).alias("changes"), "late")
     )
     changed = changed.select("job_id", "at_ms", "late", F.explode("changes").alias("field", "c")).where(F.col("field").isin(*FIELDS))
     changed = present(changed.select("job_id", "field", "at_ms", "late", F.col("c.old").alias("old"), F.col("c.new").alias("new")), "at_ms")
+    changed = cut(changed)  # read twice
     # first values: of version 1, where it is missing the old value of the first change
     payload = F.from_json(_unquoted(F.col("payload_json")), ", ".join(f"{f} string" for f in FIELDS))
     ones = versions.where("version_number = 1").groupBy("job_id").agg(F.min_by("payload_json", "id").alias("payload_json"), F.min("at_ms").alias("one_ms"), F.min("late").alias("late"))
