@@ -79,11 +79,14 @@ def city_of(location: Column) -> Column:
 
 def prefix_entries(rows: DataFrame, key: str, group: str, items: Column, keep: Column) -> DataFrame:
     """(key, group, item): of each row its first ``keep`` items, those that are rarest in the
-    group first. What only one row of the group holds counts, but is left out."""
+    group first. What only one row of the group holds counts, but is left out.
+
+    Spark takes an exploded table to be as large as the file before it, so without the hint it
+    would send counts of any size through the driver."""
     e = rows.select(key, group, keep.alias("__keep"), F.explode(items).alias("item"))
     n = e.groupBy(group, "item").agg(F.count("*").alias("__n"))
     rank = F.row_number().over(W.partitionBy(key).orderBy("__n", "item"))
-    return e.join(n, [group, "item"]).withColumn("__rank", rank).where("__rank <= __keep and __n > 1").select(key, group, "item")
+    return e.join(n.hint("merge"), [group, "item"]).withColumn("__rank", rank).where("__rank <= __keep and __n > 1").select(key, group, "item")
 
 
 def jaccard_prefix(n: Column, threshold: float) -> Column:
@@ -166,9 +169,8 @@ def score_candidates(rows: DataFrame) -> DataFrame:
 
 
 def _grams(c: Column) -> Column:
-    """Pairs of adjacent characters, each with its number among equal ones."""
-    pairs = F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2)))
-    return F.transform(pairs, lambda x, i: F.concat(x, F.size(F.filter(F.slice(pairs, F.lit(1), i + 1), lambda y: y == x)).cast("string")))
+    """The distinct pairs of adjacent characters."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(c) - 1), lambda i: F.substring(c, i, F.lit(2))))
 
 
 def near_titles(left: DataFrame, right: DataFrame, threshold: float = 0.8) -> DataFrame:
@@ -176,22 +178,29 @@ def near_titles(left: DataFrame, right: DataFrame, threshold: float = 0.8) -> Da
     characters or more, with one client and an edit similarity or a Jaccard similarity of
     words of at least ``threshold``; the score is the better of both.
 
-    Each of k edits touches two pairs of characters, so titles that near share one among their
-    2 k + 1 rarest; likewise words. A title's partner is at most its length / threshold long.
+    Each of k edits takes at most two pairs of characters from a title and never all, so titles
+    that near share one among their 2 k + 1 rarest; likewise words. A title's partner is at most
+    its length / threshold long. Titles meet by numbers, only those of clients that both sides
+    have; a client's hash stands for it until the pair is looked at.
     """
-    tagged = lambda df, side: df.where("client is not null and length(title) >= 3").select(F.struct(F.lit(side).alias("side"), "client", "title").alias("key"), "client", "title").distinct()
-    rows = cut(tagged(left, "l").unionByName(tagged(right, "r")))
+    tagged = lambda df, is_left: df.where("client is not null and length(title) >= 3").select(F.lit(is_left).alias("is_left"), "client", "title")
+    rows = cut(tagged(left, True).unionByName(tagged(right, False)).distinct())
+    both = rows.groupBy("client").agg(F.min("is_left").alias("a"), F.max("is_left").alias("b")).where("a <> b").select("client")
+    rows = rows.join(both.hint("merge"), "client", "left_semi").withColumn("words", X.words(F.col("title"))).withColumn("grams", _grams(F.col("title")))
+    rows = cut(rows.withColumn("id", F.monotonically_increasing_id()))
     most_edits = F.floor(F.length("title") * (1 - threshold) / threshold + 1e-9)
-    words = X.words(F.col("title"))
-    size = {"grams": F.length, "words": lambda c: F.size(X.words(c))}
     met = []
-    for what, items, keep in (("grams", _grams(F.col("title")), 2 * most_edits + 1), ("words", words, jaccard_prefix(F.size(words), threshold))):
-        entries = cut(prefix_entries(rows, "key", "client", items, keep).select("client", "item", "key.side", "key.title").withColumn("n", size[what](F.col("title"))))
-        a, b = (entries.where(F.col("side") == x).select("client", "item", F.col("title").alias(f"title_{x}"), F.col("n").alias(f"n_{x}")) for x in "lr")
-        met.append(a.join(b, ["client", "item"]).where(F.least("n_l", "n_r") >= F.greatest("n_l", "n_r") * threshold - 1e-9).select("client", F.col("title_l").alias("title"), F.col("title_r").alias("stored_title")))
-    edit = 1 - F.levenshtein("title", "stored_title") / F.greatest(F.length("title"), F.length("stored_title"))
-    score = F.greatest(edit, F.coalesce(X.jaccard(X.words(F.col("title")), X.words(F.col("stored_title"))), F.lit(0.0)))
-    return cut(met[0].unionByName(met[1]).distinct()).withColumn("score", score).where(F.col("score") >= threshold)
+    for items, n, keep in (("grams", F.length("title"), 2 * most_edits + 1), ("words", F.size("words"), jaccard_prefix(F.size("words"), threshold))):
+        keyed = rows.select(F.struct("id", "is_left", n.alias("n")).alias("key"), F.xxhash64("client").alias("of"), items, keep.alias("keep"))
+        entries = cut(prefix_entries(keyed, "key", "of", F.col(items), F.col("keep")).select("of", "item", "key.*"))
+        a, b = (entries.where(F.col("is_left") == x).select("of", "item", F.col("id").alias(f"id_{y}"), F.col("n").alias(f"n_{y}")) for x, y in ((True, "l"), (False, "r")))
+        met.append(a.join(b.hint("merge"), ["of", "item"]).where(F.least("n_l", "n_r") >= F.greatest("n_l", "n_r") * threshold - 1e-9).select("id_l", "id_r"))
+    side = lambda x: rows.select(F.col("id").alias(f"id_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in ("client", "title", "words")]).hint("merge")
+    pairs = met[0].unionByName(met[1]).distinct().join(side("l"), "id_l").join(side("r"), "id_r").where("client_l = client_r")
+    edit = 1 - F.levenshtein("title_l", "title_r") / F.greatest(F.length("title_l"), F.length("title_r"))
+    score = F.greatest(edit, F.coalesce(X.jaccard(F.col("words_l"), F.col("words_r")), F.lit(0.0)))
+    pairs = pairs.select(F.col("client_l").alias("client"), F.col("title_l").alias("title"), F.col("title_r").alias("stored_title"), score.alias("score"))
+    return pairs.where(F.col("score") >= threshold)
 
 
 @F.pandas_udf(T.DoubleType())

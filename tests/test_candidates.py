@@ -116,3 +116,26 @@ def test_titles_of_a_table(spark, sf):
 
     whole = {tuple(x)[:3] for x in registry.queries()["fuzzy_title_matches"](spark, sf).collect()}
     assert whole >= {tuple(x)[:3] for x in registry.queries()["fuzzy_title_lookup"](spark, sf).collect()}
+
+
+def test_no_exploded_table_is_broadcast(spark, monkeypatch):
+    """Entries are many times the file that they come from, by whose size Spark would choose to
+    send them through the driver; so no join of the search may be one."""
+    plans, cut = [], R.cut
+    seen = lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString())
+    monkeypatch.setattr(R, "cut", lambda df: seen(df) or cut(df))
+    rows = spark.createDataFrame([("acme", f"release manager {k}") for k in range(30)] + [("bolt", "dba")], "client string, title string")
+    found = R.near_titles(rows, rows)
+    seen(found)
+    assert found.count() == 30 * 30 + 1
+    assert sum(p.count("SortMergeJoin") for p in plans) >= 4
+    assert not [p for p in plans if "Broadcast" in p]
+
+
+def test_titles_of_few_distinct_pairs(spark):
+    """Runs of one character hold a single pair, however long."""
+    titles = ["a" * n for n in range(2, 14)] + ["ab" * n for n in range(2, 8)] + ["aabaa", "abaab", "baaaa"]
+    rows = [(c, t) for c in ("acme", "bolt") for t in titles]
+    df = lambda x: spark.createDataFrame(x, "client string, title string")
+    got = [tuple(x)[:3] for x in R.near_titles(df(rows), df(rows[: len(titles)] + [("core", "aaaa")])).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_titles(rows, rows[: len(titles)])
