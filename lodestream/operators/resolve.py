@@ -194,11 +194,12 @@ def near_titles(left: DataFrame, right: DataFrame, threshold: float = 0.8) -> Da
         keyed = rows.select(F.struct("id", "is_left", n.alias("n")).alias("key"), F.xxhash64("client").alias("of"), items, keep.alias("keep"))
         entries = cut(prefix_entries(keyed, "key", "of", F.col(items), F.col("keep")).select("of", "item", "key.*"))
         a, b = (entries.where(F.col("is_left") == x).select("of", "item", F.col("id").alias(f"id_{y}"), F.col("n").alias(f"n_{y}")) for x, y in ((True, "l"), (False, "r")))
-        met.append(a.join(b.hint("merge"), ["of", "item"]).where(F.least("n_l", "n_r") >= F.greatest("n_l", "n_r") * threshold - 1e-9).select("id_l", "id_r"))
+        met.append(a.join(b.hint("merge"), ["of", "item"]).where(F.least("n_l", "n_r") >= F.greatest("n_l", "n_r") * threshold - 1e-9).select("id_l", "id_r", F.lit(items == "grams").alias("by_edits"), F.lit(items == "words").alias("by_words")))
     side = lambda x: rows.select(F.col("id").alias(f"id_{x}"), *[F.col(c).alias(f"{c}_{x}") for c in ("client", "title", "words")]).hint("merge")
-    pairs = met[0].unionByName(met[1]).distinct().join(side("l"), "id_l").join(side("r"), "id_r").where("client_l = client_r")
-    edit = 1 - F.levenshtein("title_l", "title_r") / F.greatest(F.length("title_l"), F.length("title_r"))
-    score = F.greatest(edit, F.coalesce(X.jaccard(F.col("words_l"), F.col("words_r")), F.lit(0.0)))
+    pairs = met[0].unionByName(met[1]).groupBy("id_l", "id_r").agg(F.max("by_edits").alias("by_edits"), F.max("by_words").alias("by_words")).join(side("l"), "id_l").join(side("r"), "id_r").where("client_l = client_r")
+    # a similarity by which a pair did not meet is below the threshold, and so not the better one
+    edit = F.when(F.col("by_edits"), 1 - F.levenshtein("title_l", "title_r") / F.greatest(F.length("title_l"), F.length("title_r")))
+    score = F.greatest(edit, F.when(F.col("by_words"), X.jaccard(F.col("words_l"), F.col("words_r"))))
     pairs = pairs.select(F.col("client_l").alias("client"), F.col("title_l").alias("title"), F.col("title_r").alias("stored_title"), score.alias("score"))
     return pairs.where(F.col("score") >= threshold)
 
